@@ -25,6 +25,11 @@ def whitespace_tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD_PATTERN), F.lit(0))
 
 
+def array_distinct_tokens(text: Column) -> Column:
+    """The distinct cleaned tokens of a text."""
+    return F.array_distinct(tokenize(strip_symbols(text)))
+
+
 def without_blanks(tokens: Column) -> Column:
     return F.filter(tokens, lambda token: F.trim(token) != "")
 
