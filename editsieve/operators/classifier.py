@@ -86,6 +86,19 @@ def embed_texts(
     return df.join(embed_tokens(tokens, id_col, "_tokens", vectors, name), id_col, "left")
 
 
+def embed_repeated_texts(
+    df: DataFrame, text_col: str, vectors: DataFrame, name: str = "embedding"
+) -> DataFrame:
+    """``embed_texts`` for rows without an id: each distinct text is embedded once.
+
+    A text that many rows share is joined back by broadcast.
+    """
+    texts = df.select(F.col(text_col).alias("_text")).filter(F.col("_text").isNotNull()).distinct()
+    tokens = texts.select("_text", ft.whitespace_tokens(F.col("_text")).alias("_tokens"))
+    embedded = embed_tokens(tokens, "_text", "_tokens", vectors, name)
+    return lookup_join(df.withColumn("_text", F.col(text_col)), embedded, ["_text"], "left").drop("_text")
+
+
 @dataclass(frozen=True)
 class TextClassifier:
     """Fitted model with the word vectors it needs."""
@@ -99,6 +112,11 @@ class TextClassifier:
     ) -> DataFrame:
         return predict(self.model, embed_texts(df, text_col, self.vectors, id_col), name)
 
+    def predict_texts(self, df: DataFrame, text_col: str = "text", name: str = "prediction") -> DataFrame:
+        """The same for rows that no column identifies, such as those of a micro-batch."""
+        embedded = embed_repeated_texts(df, text_col, self.vectors)
+        return predict(self.model, embedded, name).drop("embedding")
+
 
 def fit_embedded(embedded: DataFrame, params: ClassifierParams) -> LogisticRegressionModel:
     """Fit on rows with ``embedding`` and ``label``; rows without an embedding are left out."""

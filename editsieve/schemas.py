@@ -3,7 +3,7 @@
 from pyspark.sql import types as T
 
 
-def _struct(fields: str) -> T.StructType:
+def simple_struct(fields: str) -> T.StructType:
     """A struct of simple types from ``name type, name type``, without a session."""
     struct = T.StructType()
     for field in fields.split(","):
@@ -13,7 +13,7 @@ def _struct(fields: str) -> T.StructType:
 
 
 # Field names, order and types of a change event.
-CHANGE_SCHEMA = _struct(
+CHANGE_SCHEMA = simple_struct(
     "$schema string, meta string, id long, type string, namespace integer, title string, "
     "title_url string, comment string, timestamp long, user string, bot boolean, "
     "notify_url string, minor boolean, length string, revision string, server_url string, "
@@ -26,20 +26,20 @@ CHECKED_CHANGE_SCHEMA = T.StructType(CHANGE_SCHEMA.fields + [T.StructField(CORRU
 # The only fields that decide whether a raw message is kept.
 ROUTING_SCHEMA = (
     T.StructType()
-    .add("meta", _struct("domain string"))
+    .add("meta", simple_struct("domain string"))
     .add("server_name", "string")
     .add("type", "string")
     .add(CORRUPT, "string")
 )
 
 # Topic records as the connector delivers them.
-RECORD_SCHEMA = _struct("key binary, value binary, timestamp timestamp")
+RECORD_SCHEMA = simple_struct("key binary, value binary, timestamp timestamp")
 
-LISTING_SCHEMA = _struct("id long, name string")
+LISTING_SCHEMA = simple_struct("id long, name string")
 
 # Nesting of the top-articles response.
 ARTICLES_SCHEMA = T.StructType().add("items", T.ArrayType(
-    T.StructType().add("articles", T.ArrayType(_struct("article string, views long, rank long")))
+    T.StructType().add("articles", T.ArrayType(simple_struct("article string, views long, rank long")))
 ))
 
 METRIC_COLUMNS = [

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..sources.versions import newest_version, publish, read_version
+
 # Fixed value: default time after which an accused account may write again.
 FORGET_SECONDS = 24 * 3600
 
@@ -36,23 +37,9 @@ def active_accused(accused: DataFrame, forget_seconds: int = FORGET_SECONDS) ->
     return still_active(last_accusations(accused), forget_seconds)
 
 
-def _versions(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.schema("version bigint, batch bigint").parquet(f"{path}/versions")
-    except AnalysisException:
-        return None
-
-
 def newest_registry(spark: SparkSession, path: str, below: int | None = None) -> DataFrame:
-    """The newest complete registry (older than version ``below`` if given), or an empty one."""
-    versions = _versions(spark, path)
-    if versions is not None:
-        if below is not None:
-            versions = versions.filter(F.col("version") < below)
-        newest = versions.agg(F.max("version")).first()[0]
-        if newest is not None:
-            return spark.read.schema(REGISTRY_DDL).parquet(f"{path}/users/version={newest}")
-    return spark.createDataFrame([], REGISTRY_DDL)
+    """The newest whole registry (older than version ``below`` if given), or an empty one."""
+    return read_version(spark, path, REGISTRY_DDL, newest_version(spark, path, below))
 
 
 def merge_accusations(
@@ -61,7 +48,7 @@ def merge_accusations(
     """Merge one batch of accusations into the registry and return the accounts that count.
 
     Version ``batch_id`` is built from the newest version below it, so repeating a batch after a
-    failure writes the same version again. The version mark is written last.
+    failure writes the same version again.
     """
     known = newest_registry(spark, path, below=batch_id)
     merged = (
@@ -69,9 +56,5 @@ def merge_accusations(
         .groupBy("user")
         .agg(F.max("last_accused").alias("last_accused"))
     )
-    target = f"{path}/users/version={batch_id}"
-    still_active(merged, forget_seconds).write.mode("overwrite").parquet(target)
-    spark.createDataFrame([(batch_id,)], "batch bigint").coalesce(1).write.mode("overwrite").parquet(
-        f"{path}/versions/version={batch_id}"
-    )
-    return spark.read.schema(REGISTRY_DDL).parquet(target)
+    publish(still_active(merged, forget_seconds), path, batch_id)
+    return read_version(spark, path, REGISTRY_DDL, batch_id)
