@@ -70,7 +70,8 @@ def bloom_inverse_sizing(size: Column, hash_count: Column) -> tuple[Column, Colu
 
 def bloom_params_table(users: DataFrame, fpr: float = DEFAULT_FPR, hasher: str = "md5") -> DataFrame:
     """Parameters for the distinct ``user`` values of ``users``, one row."""
-    counted = users.agg(F.countDistinct("user").alias("capacity"))
+    distinct = users.select("user").filter(F.col("user").isNotNull()).distinct()
+    counted = distinct.agg(F.count(F.lit(1)).alias("capacity"))
     size, hashes = bloom_sizing(F.col("capacity"), F.lit(float(fpr)))
     return counted.select(
         size.alias("size"), hashes.alias("hash_count"), "capacity",
@@ -131,7 +132,7 @@ def bloom_build(
     labelled: DataFrame, fpr: float = DEFAULT_FPR, hasher: str = "md5"
 ) -> BloomTables:
     """Filter of the distinct users with label 1."""
-    users = distinct_positive_users(labelled).filter(F.col("user").isNotNull())
+    users = distinct_positive_users(labelled.filter(F.col("user").isNotNull()))
     params = bloom_params(users, fpr, hasher)
     return BloomTables(params, bloom_words(users, params))
 
@@ -193,7 +194,8 @@ def exact_membership_filter(
 
 def bloom_measured_fpr(keys: DataFrame, members: DataFrame, filter_tables: BloomTables) -> DataFrame:
     """Share of the distinct keys outside ``members`` that the filter takes for members."""
-    unseen = exact_membership_filter(keys.select("user").distinct(), members)
+    asked = keys.select("user").filter(F.col("user").isNotNull()).distinct()
+    unseen = exact_membership_filter(asked, members)
     return bloom_lookup(unseen, filter_tables).agg(
         F.count(F.lit(1)).alias("unseen_keys"),
         F.coalesce(F.avg("prediction"), F.lit(0.0)).alias("measured_fpr"),

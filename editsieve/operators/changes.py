@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.hashing import hash_share
 from ..functions.text import build_text
 from ..schemas import CHECKED_CHANGE_SCHEMA, CORRUPT, ROUTING_SCHEMA
+from ..session import cut_lineage
 from .skew import lookup_join
 
 # The monitoring domain that is always dropped, and the default filters.
@@ -25,19 +26,18 @@ def clean_raw_changes(
 
     Only the three routing fields are read; an event without them does not match and is dropped.
     """
-    routed = df.withColumn(
-        "_routing",
-        F.from_json(
-            F.col(value).cast("string"), ROUTING_SCHEMA, {"columnNameOfCorruptRecord": CORRUPT}
-        ),
+    routing = F.from_json(
+        F.col(value).cast("string"), ROUTING_SCHEMA, {"columnNameOfCorruptRecord": CORRUPT}
     )
-    keep = F.col("_routing").isNotNull() & F.col(f"_routing.{CORRUPT}").isNull()
-    keep &= F.col("_routing.meta.domain") != MONITORING_DOMAIN
+    # generated columns: a filter on a projected struct would parse the text once per condition
+    routed = df.select("*", F.inline_outer(F.array(routing)).alias("_meta", "_server", "_type", CORRUPT))
+    keep = F.col(value).isNotNull() & F.col(CORRUPT).isNull()
+    keep &= F.col("_meta.domain") != MONITORING_DOMAIN
     if server_name is not None:
-        keep &= F.col("_routing.server_name") == server_name
+        keep &= F.col("_server") == server_name
     if action_type is not None:
-        keep &= F.col("_routing.type") == action_type
-    return routed.filter(keep).drop("_routing")
+        keep &= F.col("_type") == action_type
+    return routed.filter(keep).select(*df.columns)
 
 
 def star_expand(df: DataFrame, struct: str, *kept: str) -> DataFrame:
@@ -51,23 +51,20 @@ def parse_envelope(df: DataFrame, keep_key: bool = False, observe: str | None =
     With ``observe`` the numbers of records and of dropped records are reported as an
     observation of that name, without a second pass.
     """
-    parsed = df.withColumn(
-        "parsed",
-        F.from_json(
-            F.col("value").cast("string"),
-            CHECKED_CHANGE_SCHEMA,
-            {"columnNameOfCorruptRecord": CORRUPT},
-        ),
+    kept = ["key"] if keep_key else []
+    change = F.from_json(
+        F.col("value").cast("string"), CHECKED_CHANGE_SCHEMA, {"columnNameOfCorruptRecord": CORRUPT}
     )
-    broken = F.col("parsed").isNull() | F.col(f"parsed.{CORRUPT}").isNotNull()
+    # generated columns: each text is parsed once, whatever is filtered and selected later
+    parsed = df.select(F.col("value").alias("_value"), F.inline_outer(F.array(change)), *kept)
+    broken = F.col("_value").isNull() | F.col(CORRUPT).isNotNull()
     if observe is not None:
         parsed = parsed.observe(
             observe,
             F.count(F.lit(1)).alias("records"),
             F.count(F.when(broken, 1)).alias("dropped"),
         )
-    kept = ["key"] if keep_key else []
-    return star_expand(parsed.filter(~broken), "parsed", *kept).drop(CORRUPT)
+    return parsed.filter(~broken).drop("_value", CORRUPT)
 
 
 def hash_sample(df: DataFrame, column: str, freq: float, hasher: str = "md5") -> DataFrame:
@@ -156,7 +153,11 @@ def enrich_activity(df: DataFrame, **join_options) -> DataFrame:
         .groupBy("_minute", "user")
         .agg(F.count(F.lit(1)).alias("edits_per_minute"))
     )
-    joined = lookup_join(edits, counts, ["_minute", "user"], "left", **join_options)
+    counts = cut_lineage(counts)
+    row_counts = counts.withColumnRenamed("edits_per_minute", "_rows")
+    joined = lookup_join(
+        edits, counts, ["_minute", "user"], "left", row_counts, written=True, **join_options
+    )
     return fill_missing(joined, {"edits_per_minute": 0}).select(*df.columns, "edits_per_minute")
 
 

@@ -12,8 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import text as ft
 from ..functions.vectors import dot
+from ..session import cut_lineage
 from .evaluation import class_weights, f1_with_precision_floor, validation_report
 from .skew import lookup_join
+from .texts import token_rows
 
 # The searched grid and the precision floor of the search.
 MAX_ITERATIONS = (5, 10)
@@ -63,13 +65,14 @@ def embed_tokens(
     A token without a vector counts as zeros. Tokens are counted per text first, and each
     dimension is a sum that is combined before the shuffle.
     """
+    vectors = cut_lineage(vectors.select("token", "vector"))
     width = vectors.select(F.size("vector").alias("width")).first()["width"]
-    counts = (
-        df.select(id_col, F.explode(tokens_col).alias("token"))
+    counts = cut_lineage(
+        token_rows(df, tokens_col, "token", id_col)
         .groupBy(id_col, "token")
         .agg(F.count(F.lit(1)).alias("_times"))
     )
-    found = lookup_join(counts, vectors.select("token", "vector"), ["token"], "left")
+    found = lookup_join(counts, vectors, ["token"], "left", written=True)
     sums = [F.sum(F.col("_times") * F.col("vector")[i]).alias(f"_s{i}") for i in range(width)]
     pooled = found.groupBy(id_col).agg(F.sum("_times").alias("_tokens"), *sums)
     mean = F.array(*[

@@ -78,6 +78,8 @@ def bucket_blocks(hashed: DataFrame, rows: int, block_rows: int = BLOCK_ROWS) ->
     than two slices however many rows fall into one bucket. ``rows`` is the number of rows.
     """
     sizes = hashed.groupBy("table", "bucket").agg(F.count(F.lit(1)).alias("_rows"))
+    if rows > block_rows:  # else no bucket can be large
+        sizes = cut_lineage(sizes)
     large = sizes.filter(F.col("_rows") > block_rows).select(
         "table", "bucket", F.ceil(F.col("_rows") / block_rows).cast("int").alias("slices")
     )
@@ -89,7 +91,9 @@ def bucket_blocks(hashed: DataFrame, rows: int, block_rows: int = BLOCK_ROWS) ->
         return hashed.withColumns({
             "slice": F.lit(0), "first": F.lit(0), "second": F.lit(0), "chunk": small_chunk,
         })
-    joined = lookup_join(hashed, large, ["table", "bucket"], "left").withColumn(
+    joined = lookup_join(
+        hashed, large, ["table", "bucket"], "left", sizes, written=True
+    ).withColumn(
         "slices", F.coalesce("slices", F.lit(1))
     )
     large_chunk = F.lit(-1) - F.pmod(bucket_hash, F.lit(1 << 60))

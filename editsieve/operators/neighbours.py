@@ -24,9 +24,10 @@ from .skew import lookup_join
 NEIGHBOURS = 5
 
 BLOCK_ROWS = 4096
+MIN_SLICE_ROWS = 2048
 # The summary of slices is gathered and sent to every task, so their number is bounded; beyond
 # it the slices get larger.
-MAX_SLICES = 4096
+MAX_SLICES = 2048
 PIVOTS = 64
 
 _FOUND = "gid long, neighbour_id long, distance double"
@@ -110,6 +111,17 @@ def _partners(summary: list, reach_limit: float | None) -> list[tuple[int, list[
     return result
 
 
+def _chained(pivots: np.ndarray) -> np.ndarray:
+    """The pivots in an order in which each is followed by the nearest one left."""
+    left = pivots[np.argsort(((pivots - pivots.mean(axis=0)) ** 2).sum(axis=1))]
+    chain, left = [left[-1]], left[:-1]
+    while len(left):
+        nearest = ((left - chain[-1]) ** 2).sum(axis=1).argmin()
+        chain.append(left[nearest])
+        left = np.delete(left, nearest, axis=0)
+    return np.array(chain)
+
+
 def _nearest_pivot(pivots: np.ndarray, metric: str):
     """Adds the nearest pivot and the distance to it."""
 
@@ -135,7 +147,7 @@ def _block_rows(count: int, block_rows: int, parallelism: int) -> int:
     """Rows per slice: enough slices to keep all cores busy, none larger than asked, but no
     more slices than the summary may have."""
     busy = math.ceil(count / max(1, 2 * math.isqrt(parallelism) + 1))
-    return max(min(block_rows, max(256, busy)), math.ceil(count / MAX_SLICES))
+    return max(min(block_rows, max(MIN_SLICE_ROWS, busy)), math.ceil(count / MAX_SLICES))
 
 
 def _sliced(
@@ -157,6 +169,7 @@ def _sliced(
     pivots = np.array([row["vec"] for row in chosen])
     if metric == "cosine":
         pivots, _ = kernels.unit_rows(pivots)
+    pivots = _chained(pivots)
     schema = "gid long, vec array<double>, ids array<long>, cell long, apart double"
     placed = groups.select("gid", "vec", "ids").mapInArrow(_nearest_pivot(pivots, metric), schema)
     numbered = dense_id(placed, ["cell", "apart", "gid"], "place").withColumn(
@@ -254,14 +267,17 @@ def neighbours_of_rows(
     ``id``, ``neighbour_id``, ``distance``, ``rank`` (from 1). Rows among a vector's lowest ids
     come from ``groups``; only copies beyond those are joined by vector.
     """
-    shown = groups.select("gid", F.explode("ids").alias("id"))
-    crowded = groups.filter("more").select("vec", "gid", F.array_max("ids").alias("_last"))
-    if not crowded.isEmpty():
-        rest = lookup_join(points, crowded, ["vec"], "inner").filter(F.col("id") > F.col("_last"))
-        shown = shown.unionByName(rest.select("gid", "id"))
-    joined = lookup_join(shown, lists, ["gid"], "inner")
+    crowded = groups.filter("more")
+    has_crowded = not crowded.isEmpty()
+    if has_crowded:
+        lists = cut_lineage(lists)  # read twice
+    shown = groups.join(lists, "gid").select(F.explode("ids").alias("id"), "near")
+    if has_crowded:
+        known = crowded.join(lists, "gid").select("vec", F.array_max("ids").alias("_last"), "near")
+        rest = lookup_join(points, known, ["vec"], "inner").filter(F.col("id") > F.col("_last"))
+        shown = shown.unionByName(rest.select("id", "near"))
     others = F.filter("near", lambda item: item["neighbour_id"] != F.col("id"))
-    return joined.select("id", F.posexplode(F.slice(others, 1, k)).alias("_at", "_near")).select(
+    return shown.select("id", F.posexplode(F.slice(others, 1, k)).alias("_at", "_near")).select(
         "id", "_near.neighbour_id", "_near.distance", (F.col("_at") + 1).alias("rank")
     )
 

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import cut_lineage
+
 BROADCAST_ROWS = 200_000
+NARROW_ROWS = 1_000_000  # the same for tables of a key and one number or word
 HOT_ROWS = 2_000_000
 
 
@@ -18,28 +21,37 @@ def lookup_join(
     table: DataFrame,
     on: list[str],
     how: str = "left",
+    row_counts: DataFrame | None = None,
+    written: bool = False,
     broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join ``rows`` to ``table`` (unique on ``on``); ``how`` is left, inner, left_semi or left_anti.
 
-    A table of checked size is broadcast. Beyond that, keys with more than ``hot_rows`` rows are
-    joined apart by broadcasting their table rows - by counting there are at most
-    N / hot_rows such keys - and the rest by an ordinary shuffled join.
+    The table is written once (unless it already is), counted, and broadcast if it is small. A
+    larger one is joined in two parts: keys with more than ``hot_rows`` rows by broadcasting
+    their table rows - by counting there are at most N / hot_rows such keys - and the rest by
+    an ordinary shuffled join. ``row_counts`` (the keys and ``_rows``) saves counting the keys.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join: {how}")
+    if not written:
+        table = cut_lineage(table)
     if fits(table, broadcast_rows):
         return rows.join(F.broadcast(table), on, how)
     has_key = F.lit(True)
     for key in on:
         has_key &= F.col(key).isNotNull()
     keyed = rows.filter(has_key)
-    hot_keys = keyed.groupBy(*on).count().filter(F.col("count") > hot_rows).drop("count")
-    hot_table = table.join(F.broadcast(hot_keys), on, "left_semi")
-    hot = keyed.join(F.broadcast(hot_keys), on, "left_semi").join(F.broadcast(hot_table), on, how)
-    cold = keyed.join(F.broadcast(hot_keys), on, "left_anti").join(table, on, how)
-    joined = hot.unionByName(cold)
+    if row_counts is None:
+        row_counts = keyed.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
+    hot_keys = cut_lineage(row_counts.filter(F.col("_rows") > hot_rows).select(*on))
+    if hot_keys.isEmpty():
+        joined = keyed.join(table, on, how)
+    else:
+        hot_table = table.join(F.broadcast(hot_keys), on, "left_semi")
+        hot = keyed.join(F.broadcast(hot_keys), on, "left_semi").join(F.broadcast(hot_table), on, how)
+        joined = hot.unionByName(keyed.join(F.broadcast(hot_keys), on, "left_anti").join(table, on, how))
     if how in ("left", "left_anti"):  # a null key matches nothing, so it skips the shuffle
         joined = joined.unionByName(rows.filter(~has_key), allowMissingColumns=True)
     return joined

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import text as ft
 from ..session import cut_lineage
-from .skew import fits, lookup_join
+from .skew import NARROW_ROWS, lookup_join
 
 # Fixed value: width of the feature vectors.
 VECTOR_SIZE = 64
@@ -20,7 +20,15 @@ SEED = 7
 
 def positions(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
     """``id_col``, ``pos`` and ``token`` of every token."""
-    return df.select(id_col, F.posexplode(tokens_col).alias("pos", "token"))
+    # outer, because a plain explode also filters on the size of the list, which computes it twice
+    placed = df.select(id_col, F.posexplode_outer(tokens_col).alias("pos", "token"))
+    return placed.filter(F.col("token").isNotNull())
+
+
+def token_rows(df: DataFrame, tokens_col: str, name: str = "token", *kept: str) -> DataFrame:
+    """One row per token, with the columns ``kept``."""
+    spread = df.select(*kept, F.explode_outer(tokens_col).alias(name))
+    return spread.filter(F.col(name).isNotNull())
 
 
 def gather(tokens: DataFrame, id_col: str, value: str, name: str) -> DataFrame:
@@ -39,8 +47,8 @@ def remove_noise(
     bare = df.withColumn(tokens_col, ft.without_blanks(F.col(tokens_col)))
     if stopwords is None:
         return bare
-    if fits(stopwords, INLINE_WORDS):
-        words = [row["word"] for row in stopwords.select("word").collect()]
+    words = [row["word"] for row in stopwords.select("word").limit(INLINE_WORDS + 1).collect()]
+    if len(words) <= INLINE_WORDS:
         return bare.withColumn(tokens_col, ft.without_words(F.col(tokens_col), words))
     listed = stopwords.select(F.col("word").alias("token")).distinct()
     kept = lookup_join(positions(bare, id_col, tokens_col), listed, ["token"], "left_anti")
@@ -62,7 +70,9 @@ def stem_tokens(
     """
     if stems is None:
         return df
-    looked_up = lookup_join(positions(df, id_col, tokens_col), stems, ["token"], "left")
+    df = cut_lineage(df)  # the tokens are read for the lookup and again for the join
+    placed = positions(df, id_col, tokens_col)
+    looked_up = lookup_join(placed, stems, ["token"], "left", broadcast_rows=NARROW_ROWS)
     stemmed = looked_up.select(id_col, "pos", F.coalesce("stem", "token").alias("stem"))
     gathered = gather(stemmed, id_col, "stem", "_stemmed")
     return (
@@ -98,16 +108,20 @@ def tfidf_terms(df: DataFrame, id_col: str, tokens_col: str = "tokens") -> DataF
     """The unhashed twin: ``id_col``, ``term``, ``tf``, ``df``, ``tfidf`` of every term of a text.
 
     Terms are counted per text before the join, and a term of very many texts is broadcast.
+    Texts without a token do not count.
     """
-    total = df.count()
-    counts = (
-        df.select(id_col, F.explode(tokens_col).alias("term"))
+    counts = cut_lineage(
+        token_rows(df, tokens_col, "term", id_col)
         .groupBy(id_col, "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
-    frequencies = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    total = counts.select(id_col).distinct().count()
+    frequencies = cut_lineage(counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")))
     weight = F.log(F.lit(total + 1.0) / (F.col("df") + 1))
-    joined = lookup_join(counts, frequencies, ["term"], "inner")
+    joined = lookup_join(
+        counts, frequencies, ["term"], "inner", frequencies.withColumnRenamed("df", "_rows"),
+        written=True, broadcast_rows=NARROW_ROWS,
+    )
     return joined.withColumn("tfidf", F.col("tf") * weight)
 
 

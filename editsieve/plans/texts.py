@@ -8,15 +8,17 @@ from ..functions import text as ft, vectors as fv
 from ..functions.hashing import md5_number
 from ..operators import classifier as cl, evaluation as ev, lsh, neighbours as nb, texts as tx
 from ..operators.numbering import ordered_split
+from ..operators.skew import lookup_join
 from ..schemas import ARTICLES_SCHEMA
 from ..sources import texts as src
 from .events import scratch
 from .registry import query
-from .views import md5_sql, table
+from .views import md5_sql, spread, table
 
 
 def documents(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", "lang")
+    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", "lang")
+    return spread(rows)
 
 
 _CLEAN = r"regexp_replace(text, '[^a-zA-Z\x{0400}-\x{04FF}]', ' ', 'g')"
@@ -33,13 +35,13 @@ def frequent_words(spark, sf_dir):
     rows = documents(spark, sf_dir)
     tokens = ft.array_distinct_tokens(F.col("text"))
     counts = (
-        rows.select("lang", F.explode(tokens).alias("word"))
+        tx.token_rows(rows.select("lang", tokens.alias("words")), "words", "word", "lang")
         .filter(F.trim("word") != "")
         .groupBy("lang", "word")
         .agg(F.count(F.lit(1)).alias("in_documents"))
     )
     sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    return counts.join(sizes, "lang").filter(F.col("in_documents") * 5 >= F.col("n"))
+    return lookup_join(counts, sizes, ["lang"], "inner").filter(F.col("in_documents") * 5 >= F.col("n"))
 
 
 def stopwords(spark, sf_dir):
@@ -119,7 +121,7 @@ def split_tokens(spark, sf_dir):
 
 def stems(spark, sf_dir):
     """Stem of each distinct token, by a rule on its ending."""
-    words = split_tokens(spark, sf_dir).select(F.explode("tokens").alias("token")).distinct()
+    words = tx.token_rows(split_tokens(spark, sf_dir), "tokens").distinct()
     stem = F.when(
         F.length("token") > 4, F.regexp_replace("token", "(ing|ed|es|s)$", "")
     ).otherwise(F.col("token"))
@@ -185,12 +187,14 @@ def clean_first_listings(spark, sf_dir):
 
 
 def article_responses(spark, sf_dir):
-    """Conversations as responses: one item holding the texts as articles."""
+    """Conversations as responses: one item holding up to a hundred turns as articles."""
     article = F.struct(
         F.col("text").alias("article"), F.length("text").cast("bigint").alias("views"),
         (F.col("conv_id") * 1000 + F.col("turn")).alias("rank"),
     )
-    grouped = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(
+    grouped = table(spark, sf_dir, "conversations").groupBy(
+        "conv_id", F.floor(F.col("turn") / 100)
+    ).agg(
         F.collect_list(article).alias("articles")
     )
     return grouped.select(F.array(F.struct("articles")).alias("items"))
@@ -206,7 +210,7 @@ def articles_from_json(spark, sf_dir):
 
 # Word vectors that SQL can compute: four numbers per token.
 def token_vectors(tokens):
-    words = tokens.select(F.explode("tokens").alias("token")).distinct()
+    words = tx.token_rows(tokens, "tokens").distinct()
     numbers = [
         md5_number(F.concat(F.lit(f"{i}:"), F.col("token"))) / F.lit(2.0**32) for i in range(4)
     ]

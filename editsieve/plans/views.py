@@ -12,6 +12,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where there are fewer files than cores; else as they were read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as change events."""
     epoch = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))

@@ -11,9 +11,12 @@ from ..operators.numbering import running_sum
 from ..schemas import CHANGE_SCHEMA
 from ..session import query_checkpoint
 
-# One set of options for writers and readers, so that quotes, line breaks and empty
-# strings come back as they were.
-CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "emptyValue": '""', "nullValue": ""}
+# One set of options for writers and readers, so that quotes, line breaks and blanks come back
+# as they were. An empty string reads as null, as it does from files of other origin.
+CSV_OPTIONS = {
+    "header": True, "quote": '"', "escape": '"',
+    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
 MULTILINE = CSV_OPTIONS | {"multiLine": True}
 # Fixed value: mean gap between replayed events.
 REPLAY_SCALE_MS = 10.0
@@ -61,12 +64,12 @@ def merge_folder(spark: SparkSession, path: str, out: str | None = None, schemas
     it has. ``schemas`` may give column types by name; other columns stay text.
     """
     listing = spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True)
-    try:
-        lines = listing.text(path).select(F.input_file_name().alias("file"), F.col("value"))
-        headers = lines.groupBy("file").agg(F.first("value").alias("header"))
-        groups = headers.groupBy("header").agg(F.collect_list("file").alias("files")).collect()
-    except Exception as error:
-        raise ValueError(f"no CSV files in {path}") from error
+    lines = listing.text(path).select(
+        F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("place")
+    ).filter(F.col("_metadata.file_block_start") == 0)
+    headers = lines.groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    # one row per file, which the listing of the folder holds on the driver anyway
+    groups = headers.groupBy("header").agg(F.collect_list("file").alias("files")).collect()
     if not groups:
         raise ValueError(f"no CSV files in {path}")
     merged = None

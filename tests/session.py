@@ -15,7 +15,7 @@ def local_session():
         spark__master="local[8]",
         spark__driver__memory="12g",
         spark__ui__enabled="false",
-        spark__sql__shuffle__partitions="8",
+        spark__sql__shuffle__partitions="4",
         spark__sql__session__timeZone="UTC",
         spark__ui__showConsoleProgress="false",
     )
