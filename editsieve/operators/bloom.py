@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.hashing import HASHERS, seeded_position
+from ..session import cut_lineage
 from .changes import distinct_positive_users
 from .skew import lookup_join
 
@@ -131,10 +132,13 @@ def bloom_bits(words: DataFrame) -> DataFrame:
 def bloom_build(
     labelled: DataFrame, fpr: float = DEFAULT_FPR, hasher: str = "md5"
 ) -> BloomTables:
-    """Filter of the distinct users with label 1."""
-    users = distinct_positive_users(labelled.filter(F.col("user").isNotNull()))
+    """Filter of the distinct users with label 1, built now: one pass over ``labelled``.
+
+    The users are written once for sizing and hashing, the words once for every later lookup.
+    """
+    users = cut_lineage(distinct_positive_users(labelled.filter(F.col("user").isNotNull())))
     params = bloom_params(users, fpr, hasher)
-    return BloomTables(params, bloom_words(users, params))
+    return BloomTables(params, cut_lineage(bloom_words(users, params)))
 
 
 def bloom_lookup(

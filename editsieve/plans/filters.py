@@ -8,15 +8,15 @@ from ..operators import bloom, changes as ch, evaluation as ev
 from ..streaming.registry import active_accused
 from .events import _FLAGS_SQL, metrics_sql, windows_as_seconds, windows_sql
 from .registry import query
-from .views import SPLIT_SECONDS, changes, md5_sql, training_part, validation_part, with_changes
+from .views import SPLIT_SECONDS, changes, md5_sql, with_changes
 
 
-def _labelled(spark, sf_dir):
-    return ch.label_from_flag(changes(spark, sf_dir))
+def _labelled(spark, sf_dir, part=None):
+    return ch.label_from_flag(changes(spark, sf_dir, part))
 
 
 def trained(spark, sf_dir, fpr: float = bloom.DEFAULT_FPR) -> bloom.BloomTables:
-    return bloom.bloom_build(training_part(_labelled(spark, sf_dir)), fpr)
+    return bloom.bloom_build(_labelled(spark, sf_dir, "train"), fpr)
 
 
 def sizing_sql(n: str = "n", p: str = "0.1") -> str:
@@ -43,7 +43,7 @@ looked_up AS (SELECT ch.*, prediction FROM ch JOIN hits USING ("user")
 SELECT size, CAST(k AS INTEGER) AS hash_count, n AS capacity, 0.1::DOUBLE AS false_positive_rate,
   n AS inserted_count FROM par"""))
 def bloom_params(spark, sf_dir):
-    users = ch.distinct_positive_users(training_part(_labelled(spark, sf_dir)))
+    users = ch.distinct_positive_users(_labelled(spark, sf_dir, "train"))
     return bloom.bloom_params_table(users).drop("hasher")
 
 
@@ -83,7 +83,7 @@ def bloom_words(spark, sf_dir):
 
 @query("B3", with_changes(f'{_FILTER_SQL} SELECT id, "user", prediction FROM looked_up'))
 def bloom_lookup(spark, sf_dir):
-    found = bloom.bloom_lookup(validation_part(changes(spark, sf_dir)), trained(spark, sf_dir))
+    found = bloom.bloom_lookup(changes(spark, sf_dir, "validation"), trained(spark, sf_dir))
     return found.select("id", "user", "prediction")
 
 
@@ -91,14 +91,14 @@ def bloom_lookup(spark, sf_dir):
 def bloom_lookup_large_filter(spark, sf_dir):
     """The way for filters beyond the broadcast bound, forced here."""
     found = bloom.bloom_lookup(
-        validation_part(changes(spark, sf_dir)), trained(spark, sf_dir), broadcast_words=0
+        changes(spark, sf_dir, "validation"), trained(spark, sf_dir), broadcast_words=0
     )
     return found.select("id", "user", "prediction")
 
 
 @query("J5", with_changes(f'{_FILTER_SQL} SELECT id, "user" FROM looked_up WHERE prediction = 0'))
 def membership_filter(spark, sf_dir):
-    kept = bloom.membership_filter(validation_part(changes(spark, sf_dir)), trained(spark, sf_dir))
+    kept = bloom.membership_filter(changes(spark, sf_dir, "validation"), trained(spark, sf_dir))
     return kept.select("id", "user")
 
 
@@ -109,17 +109,15 @@ SELECT id, "user" FROM ch WHERE "timestamp" >= {SPLIT_SECONDS} AND "user" {{}} I
 
 @query("J5", with_changes(_EXACT_SQL.format("NOT")))
 def exact_anti_membership(spark, sf_dir):
-    known = changes(spark, sf_dir)
     return bloom.exact_membership_filter(
-        validation_part(known), training_part(known).filter("bot")
+        changes(spark, sf_dir, "validation"), changes(spark, sf_dir, "train").filter("bot")
     ).select("id", "user")
 
 
 @query("J5", with_changes(_EXACT_SQL.format("")))
 def exact_semi_membership(spark, sf_dir):
-    known = changes(spark, sf_dir)
     return bloom.exact_membership_filter(
-        validation_part(known), training_part(known).filter("bot"), keep_members=True
+        changes(spark, sf_dir, "validation"), changes(spark, sf_dir, "train").filter("bot"), keep_members=True
     ).select("id", "user")
 
 
@@ -128,7 +126,7 @@ flags AS (SELECT *, {_FLAGS_SQL} FROM looked_up), windows AS ({windows_sql('flag
 SELECT *, {metrics_sql(1)} FROM windows"""))
 def filter_metrics(spark, sf_dir):
     """Train on the first half of the events, look up the second, report sliding windows."""
-    found = bloom.bloom_lookup(validation_part(changes(spark, sf_dir)), trained(spark, sf_dir))
+    found = bloom.bloom_lookup(changes(spark, sf_dir, "validation"), trained(spark, sf_dir))
     return windows_as_seconds(ev.derive_metrics(ev.windowed_confusion(found)))
 
 
@@ -142,19 +140,17 @@ SELECT (SELECT count(*) FROM triggered) AS triggered_users,
   (SELECT count(*) FROM triggered WHERE "user" IN (FROM val)) AS caught_bots,
   (SELECT count(*) FROM triggered WHERE "user" NOT IN (FROM val)) AS wrongly_triggered"""))
 def account_overlap(spark, sf_dir):
-    known = changes(spark, sf_dir)
-    validation = validation_part(known)
+    validation = changes(spark, sf_dir, "validation")
     predicted = bloom.bloom_lookup(validation, trained(spark, sf_dir))
-    return ch.account_overlap(predicted, training_part(known), validation)
+    return ch.account_overlap(predicted, changes(spark, sf_dir, "train"), validation)
 
 
 @query("B5", with_changes(f"""{_FILTER_SQL}
 SELECT count(*) AS unseen_keys, coalesce(avg(prediction), 0.0) AS measured_fpr
 FROM hits WHERE "user" NOT IN (FROM train)"""))
 def bloom_measured_fpr(spark, sf_dir):
-    known = _labelled(spark, sf_dir)
-    members = ch.distinct_positive_users(training_part(known))
-    return bloom.bloom_measured_fpr(known, members, trained(spark, sf_dir))
+    members = ch.distinct_positive_users(_labelled(spark, sf_dir, "train"))
+    return bloom.bloom_measured_fpr(changes(spark, sf_dir), members, trained(spark, sf_dir))
 
 
 @query("B6", with_changes(f"""{_FILTER_SQL}

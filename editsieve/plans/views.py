@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Training bots are taken from events before this time, the rest is looked up.
-SPLIT_SECONDS = 1_705_363_200  # 2024-01-16 00:00:00 UTC
+SPLIT_TIME = "2024-01-16 00:00:00"
+SPLIT_SECONDS = 1_705_363_200  # the same in UTC
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,10 +19,17 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
-def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` as change events."""
+def changes(spark: SparkSession, sf_dir: str, part: str | None = None) -> DataFrame:
+    """``events`` as change events; ``part`` is ``train`` (before the split) or ``validation``.
+
+    The split is a condition on the stored column, so that it reaches the scan.
+    """
     epoch = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))
-    return table(spark, sf_dir, "events").select(
+    split = F.to_timestamp_ntz(F.lit(SPLIT_TIME))
+    rows = table(spark, sf_dir, "events")
+    if part is not None:
+        rows = rows.filter(F.col("ts") < split if part == "train" else F.col("ts") >= split)
+    return rows.select(
         F.col("event_id").alias("id"),
         F.timestamp_diff("SECOND", epoch, F.col("ts")).alias("timestamp"),
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("user"),
@@ -55,10 +63,3 @@ def with_changes(sql: str) -> str:
 def md5_sql(text: str, digits: int = 8) -> str:
     return f"CAST(('0x' || substr(md5({text}), 1, {digits})) AS BIGINT)"
 
-
-def training_part(df: DataFrame) -> DataFrame:
-    return df.filter(F.col("timestamp") < SPLIT_SECONDS)
-
-
-def validation_part(df: DataFrame) -> DataFrame:
-    return df.filter(F.col("timestamp") >= SPLIT_SECONDS)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from editsieve.operators import bloom, changes as ch, classifier as cl, evaluation as ev
 from editsieve.plans.events import records, windows_as_seconds
-from editsieve.plans.views import changes, training_part
+from editsieve.plans.views import changes
 from editsieve.sources import recorded, topics
 from editsieve.streaming import registry, services, sinks
 
@@ -124,7 +124,7 @@ def streamed_windows(spark, path):
 
 def test_filter_service(spark, record_files, tmp_path):
     filter_path, scored_path, clean, metrics = (str(tmp_path / n) for n in ("f", "scored", "clean", "metrics"))
-    tables = bloom.bloom_build(ch.label_from_flag(training_part(changes(spark, SF_DIR))))
+    tables = bloom.bloom_build(ch.label_from_flag(changes(spark, SF_DIR, "train")))
     with pytest.raises(Exception):
         finish(services.filter_stream(
             read(spark, record_files), filter_path, sinks.file_batches(clean), scored_path,
