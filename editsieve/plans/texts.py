@@ -10,6 +10,7 @@ from ..operators import classifier as cl, evaluation as ev, lsh, neighbours as n
 from ..operators.numbering import ordered_split
 from ..operators.skew import lookup_join
 from ..schemas import ARTICLES_SCHEMA
+from ..session import cut_lineage
 from ..sources import texts as src
 from .events import scratch
 from .registry import query
@@ -41,7 +42,9 @@ def frequent_words(spark, sf_dir):
         .agg(F.count(F.lit(1)).alias("in_documents"))
     )
     sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    return lookup_join(counts, sizes, ["lang"], "inner").filter(F.col("in_documents") * 5 >= F.col("n"))
+    joined = lookup_join(counts, sizes, ["lang"], "inner")
+    # both lists are taken from it
+    return cut_lineage(joined.filter(F.col("in_documents") * 5 >= F.col("n")).select("lang", "word"))
 
 
 def stopwords(spark, sf_dir):
