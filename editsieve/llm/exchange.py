@@ -99,6 +99,11 @@ def arrow_schema(schema: str | StructType) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
 
+def extended(schema: StructType, ddl: str) -> StructType:
+    """``schema`` with more fields."""
+    return StructType([*schema.fields, *StructType.fromDDL(ddl).fields])
+
+
 SENT = pa.schema([("part", pa.int32()), ("chunk", pa.int64()), ("data", pa.binary())])
 SENT_DDL = "part int, chunk long, data binary"
 

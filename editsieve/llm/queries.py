@@ -2,14 +2,38 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from editsieve.llm import substrings
+from editsieve.llm import html, jaccard, packing, pieces, substrings
 from editsieve.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
 
 
+@query()
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html.extract(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query()
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.classes(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = pieces.encode_texts(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return pieces.digests(encoded).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query()
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @query()
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -12,7 +12,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql.types import StructType
 
 from editsieve.llm import exchange
 from editsieve.llm.words import Words, runs, split_words
@@ -89,7 +88,7 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     found = exchange.answer(exchange.with_answers(chunks, answers, candidates, exchange.SENT_DDL), exact)
     kept_columns = docs.columns
-    schema = StructType(docs.schema.fields).add("n_words", "long").add("n_removed", "long")
+    schema = exchange.extended(docs.schema, "n_words long, n_removed long")
 
     def kept(_: int, table: pa.Table, got: list) -> pa.Table:
         words = split_words(table.column(text_col))
