@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from editsieve.llm import html, jaccard, packing, pieces, substrings
+from editsieve.llm import html, jaccard, packing, pieces, quality, substrings, toxicity
 from editsieve.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -38,3 +38,17 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substrings.remove_repeated(docs).select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query()
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    model, prior = quality.fit_form(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model, prior).select("doc_id", "quality_score", "is_good")
+
+
+@query()
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = toxicity.fit_chain(docs, toxicity.of_labels(table(spark, sf_dir, "labels")), toxicity.CATEGORIES)
+    return toxicity.predict(docs, chain).select("doc_id", "p_poor", "p_toxic", "is_toxic")

@@ -56,6 +56,10 @@ class Words:
     def __len__(self) -> int:
         return len(self.start)
 
+    def upto(self, length: int) -> Words:
+        """The same words, cut after ``length`` bytes."""
+        return Words(self.data, self.offsets, self.start, np.minimum(self.end, self.start + length), self.row, self.first)
+
     def hashes(self, lower: bool = False, family: int = 0) -> np.ndarray:
         out = np.empty(len(self.start), np.uint64)
         values = _byte_values(lower, family)
@@ -89,12 +93,18 @@ def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def split_words(column: pa.Array) -> Words:
+WORD_BYTES = np.ones(256, bool)
+WORD_BYTES[list(_SPACES)] = False
+#: Letters of ASCII, and all bytes of other characters.
+LETTER_BYTES = np.arange(256) >= 0x80
+LETTER_BYTES[0x41:0x5B] = LETTER_BYTES[0x61:0x7B] = True
+
+
+def split_words(column: pa.Array, word_bytes: np.ndarray = WORD_BYTES) -> Words:
+    """Maximal runs of ``word_bytes`` within the rows."""
     data, offsets = bytes_of(column)
     size = len(data)
-    inside = np.ones(256, bool)
-    inside[list(_SPACES)] = False
-    inside = inside[data]
+    inside = word_bytes[data]
     after = np.empty(size + 1, bool)  # a word cannot go on from the byte before
     after[0] = after[size] = True
     np.logical_not(inside[:-1], out=after[1:size]) if size else None
