@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from editsieve.llm import html, jaccard, packing, pieces, quality, substrings, toxicity
+from editsieve.llm import forest, html, jaccard, packing, pieces, quality, substrings, topk, toxicity
 from editsieve.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -52,3 +52,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     chain = toxicity.fit_chain(docs, toxicity.of_labels(table(spark, sf_dir, "labels")), toxicity.CATEGORIES)
     return toxicity.predict(docs, chain).select("doc_id", "p_poor", "p_toxic", "is_toxic")
+
+
+@query()
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query()
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
