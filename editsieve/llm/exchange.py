@@ -38,8 +38,8 @@ def from_bytes(data: bytes) -> pa.Table:
     return pa.ipc.open_stream(pa.py_buffer(data)).read_all()
 
 
-def pack(docs: DataFrame, text: str = "text") -> DataFrame:
-    """All columns of ``docs`` in chunks of about ``CHUNK_BYTES`` of text, written to the shared folder.
+def pack(docs: DataFrame, text: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """All columns of ``docs`` in chunks of about ``chunk_bytes`` of text, written to the shared folder.
 
     A document longer than that is a chunk of its own. An empty table gives no chunk.
     """
@@ -52,13 +52,13 @@ def pack(docs: DataFrame, text: str = "text") -> DataFrame:
             ends, at = np.cumsum(lengths, dtype=np.int64), 0
             while at < batch.num_rows:
                 base = ends[at - 1] if at else 0
-                upto = int(np.searchsorted(ends, base + CHUNK_BYTES - size, "right"))
+                upto = int(np.searchsorted(ends, base + chunk_bytes - size, "right"))
                 upto = min(max(upto, at + (size == 0)), at + CHUNK_ROWS - rows, batch.num_rows)
                 if upto > at:
                     # a copy, so that the batch that Spark sent can go
                     held.append(pa.RecordBatch.from_pylist(batch.slice(at, upto - at).to_pylist(), batch.schema) if upto - at < 8 else batch.slice(at, upto - at))
                     size, rows = size + int(ends[upto - 1] - base), rows + upto - at
-                if upto < batch.num_rows or size >= CHUNK_BYTES or rows >= CHUNK_ROWS:
+                if upto < batch.num_rows or size >= chunk_bytes or rows >= CHUNK_ROWS:
                     yield chunk(number, held, text)
                     number, held, size, rows = number + 1, [], 0, 0
                 at = upto

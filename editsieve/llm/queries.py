@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from editsieve.llm import forest, html, jaccard, packing, pieces, quality, substrings, topk, toxicity
+from editsieve.llm import forest, html, jaccard, packing, pieces, pitmanyor, quality, substrings, topk, toxicity
 from editsieve.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -62,3 +62,8 @@ def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query()
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitmanyor.score(table(spark, sf_dir, "documents"))
