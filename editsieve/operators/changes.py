@@ -10,10 +10,8 @@ from ..schemas import CHECKED_CHANGE_SCHEMA, CORRUPT, ROUTING_SCHEMA
 from ..session import cut_lineage
 from .skew import lookup_join
 
-# The monitoring domain that is always dropped, and the default filters.
+# Fixed value: the monitoring domain that is always dropped.
 MONITORING_DOMAIN = "canary"
-DEFAULT_SERVER = "en.wikipedia.org"
-DEFAULT_ACTION = "edit"
 
 
 def clean_raw_changes(

@@ -66,7 +66,8 @@ def embed_tokens(
     dimension is a sum that is combined before the shuffle.
     """
     vectors = cut_lineage(vectors.select("token", "vector"))
-    width = vectors.select(F.size("vector").alias("width")).first()["width"]
+    first = vectors.select(F.size("vector").alias("width")).first()
+    width = first["width"] if first else 0  # without word vectors the means have no dimension
     counts = cut_lineage(
         token_rows(df, tokens_col, "token", id_col)
         .groupBy(id_col, "token")
@@ -78,7 +79,7 @@ def embed_tokens(
     mean = F.array(*[
         F.coalesce(F.col(f"_s{i}"), F.lit(0.0)) / F.col("_tokens") for i in range(width)
     ])
-    return pooled.select(id_col, mean.alias(name))
+    return pooled.select(id_col, mean.cast("array<double>").alias(name))
 
 
 def embed_texts(
@@ -205,13 +206,16 @@ def save_classifier(classifier: TextClassifier, path: str) -> None:
         raise ValueError(f"target folder should be empty or absent: {path}")
     classifier.vectors.write.parquet(f"{path}/vectors")
     classifier.params.estimator().save(f"{path}/estimator")
+    weights = [(classifier.params.weight_type,)]
+    classifier.vectors.sparkSession.createDataFrame(weights, "weight_type string").write.json(f"{path}/weights", ignoreNullFields=False)
     classifier.model.save(f"{path}/model")
 
 
 def load_classifier(spark: SparkSession, path: str) -> TextClassifier:
     estimator = LogisticRegression.load(f"{path}/estimator")
     params = ClassifierParams(
-        estimator.getMaxIter(), estimator.getRegParam(), estimator.getElasticNetParam()
+        estimator.getMaxIter(), estimator.getRegParam(), estimator.getElasticNetParam(),
+        spark.read.schema("weight_type string").json(f"{path}/weights").first()["weight_type"],
     )
     model = LogisticRegressionModel.load(f"{path}/model")
     return TextClassifier(params, model, spark.read.parquet(f"{path}/vectors"))

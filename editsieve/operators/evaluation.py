@@ -21,12 +21,8 @@ def confusion_flags(df: DataFrame) -> DataFrame:
 
 
 def _count_aggregates() -> list[Column]:
-    return [
-        F.sum("tp").alias("true_positives"),
-        F.sum("fp").alias("false_positives"),
-        F.sum("fn").alias("false_negatives"),
-        F.count(F.lit(1)).alias("total_observations"),
-    ]
+    flagged = [F.count_if(F.col(flag) == 1) for flag in ("tp", "fp", "fn")]
+    return [column.alias(name) for column, name in zip([*flagged, F.count("*")], _COUNTS, strict=True)]
 
 
 def windowed_confusion(

@@ -6,6 +6,7 @@ import sys
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 
 # Workers get these functions with the task, whether or not the package is on their path.
@@ -21,6 +22,8 @@ _SNAP = 1e-12  # cosine distances this small are rounding noise of parallel vect
 def stack(column) -> np.ndarray:
     """An Arrow list column of equal lengths as an n x width matrix of doubles."""
     values = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    if len(values) and len(pc.unique(pc.list_value_length(values))) > 1:
+        raise ValueError("vectors of different lengths cannot be compared")
     flat = values.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
     return flat.reshape(len(values), -1)
 

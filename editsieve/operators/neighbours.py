@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import cut_lineage
 from . import kernels
@@ -40,13 +40,32 @@ def _check_metric(distance: str) -> None:
 
 
 def vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """``id`` and ``vec`` (array of doubles) of the rows that have a vector."""
+    """``id`` and ``vec`` (array of doubles) of the rows that have a vector of finite components.
+
+    A vector with a null, NaN or infinite component has no distance to anything and is set aside like a missing one;
+    ``unusable_vectors`` counts both. Vectors of different lengths are refused when they are compared.
+    """
     column = F.col(vec_col)
     if isinstance(df.schema[vec_col].dataType, VectorUDT):
         column = vector_to_array(column)
     return df.select(
         F.col(id_col).cast("long").alias("id"), column.cast("array<double>").alias("vec")
-    ).filter(F.col("vec").isNotNull())
+    ).filter(_usable(F.col("vec")))
+
+
+def _usable(vec: Column) -> Column:
+    odd = F.exists(vec, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    return vec.isNotNull() & ~F.coalesce(odd, F.lit(False))
+
+
+def unusable_vectors(df: DataFrame, vec_col: str) -> DataFrame:
+    """One row: ``missing`` and ``not_finite``, the numbers of rows that a neighbour search sets aside."""
+    column = F.col(vec_col)
+    if isinstance(df.schema[vec_col].dataType, VectorUDT):
+        column = vector_to_array(column)
+    return df.agg(
+        F.count_if(column.isNull()).alias("missing"), F.count_if(column.isNotNull() & ~_usable(column)).alias("not_finite")
+    )
 
 
 def collapse_copies(points: DataFrame, keep: int) -> DataFrame:

@@ -142,7 +142,7 @@ def fit_word2vec(
 def add_features(
     df: DataFrame, text_col: str, name: str = "features", method: str = "word2vec",
     stopwords: DataFrame | None = None, stems: DataFrame | None = None, id_col: str = "id",
-    size: int = VECTOR_SIZE, seed: int = SEED,
+    size: int = VECTOR_SIZE, seed: int = SEED, min_count: int = 0, partitions: int = 1,
 ) -> DataFrame:
     """Texts with a feature vector; texts without a token are dropped."""
     if method not in METHODS:
@@ -151,4 +151,4 @@ def add_features(
     if method == "tfidf":
         return tfidf_features(tokens, "tokens", name, size)
     tokens = cut_lineage(tokens)  # read by the fit, and again by each use of the vectors
-    return fit_word2vec(tokens, "tokens", name, size, seed=seed).transform(tokens)
+    return fit_word2vec(tokens, "tokens", name, size, min_count, seed, partitions).transform(tokens)

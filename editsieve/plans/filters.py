@@ -162,11 +162,11 @@ def bloom_health(spark, sf_dir):
 
 
 @query("T4 D3", with_changes(""", seen AS (
-  SELECT "user", max("timestamp") AS last_accused FROM ch WHERE bot AND type = 'error' GROUP BY 1)
+  SELECT "user", max("timestamp") AS last_accused FROM ch WHERE bot GROUP BY 1)
 SELECT "user", last_accused FROM seen
 WHERE last_accused >= (SELECT max(last_accused) FROM seen) - 259200"""))
 def forgetting_registry(spark, sf_dir):
-    accused = changes(spark, sf_dir).filter("bot AND type = 'error'").select(
+    accused = changes(spark, sf_dir).filter("bot").select(
         "user", F.timestamp_seconds("timestamp").alias("timestamp")
     )
     active = active_accused(accused, forget_seconds=3 * 86400)

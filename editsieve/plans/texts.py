@@ -294,7 +294,7 @@ def labelled_texts(spark, sf_dir):
 
 def _learned_vectors(train):
     tokens = train.select(ft.whitespace_tokens(F.col("text")).alias("tokens"))
-    return cl.word_vectors(tx.fit_word2vec(tokens, size=16)).persist()
+    return cl.word_vectors(tx.fit_word2vec(tokens)).persist()
 
 
 @query("M4 M5 A13 P11")
@@ -317,9 +317,6 @@ def _similarity(rows, text_col, id_col, grid, method):
     return featured, truth, lsh.search_lsh(featured, id_col, "features", truth, grid)
 
 
-_SHORT_GRID = [lsh.LshParams(tables, 0.9, 1.0) for tables in lsh.HASH_TABLES]
-
-
 @query("M12 P9 M1 M7 M10 O6")
 def listing_similarity(spark, sf_dir):
     listings = src.clean_listings(documents(spark, sf_dir).withColumnRenamed("text", "name"))
@@ -337,7 +334,7 @@ def article_similarity(spark, sf_dir):
 @query("M11")
 def transfer_params(spark, sf_dir):
     listings = src.clean_listings(documents(spark, sf_dir).withColumnRenamed("text", "name"))
-    _, _, results = _similarity(listings, "name", "id", _SHORT_GRID, "tfidf")
+    _, _, results = _similarity(listings, "name", "id", lsh.default_grid(), "tfidf")
     articles = src.articles_from_json(article_responses(spark, sf_dir))
     other = tx.add_features(articles, "article", method="tfidf", id_col="rank")
     truth = lsh.with_truth(other, "rank", nb.exact_neighbours(other, "rank"))

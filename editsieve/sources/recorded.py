@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.hashing import unit_uniform
-from ..operators.changes import rows_as_json
 from ..operators.numbering import running_sum
 from ..schemas import CHANGE_SCHEMA
 from ..session import query_checkpoint
@@ -74,7 +75,8 @@ def merge_folder(spark: SparkSession, path: str, out: str | None = None, schemas
         raise ValueError(f"no CSV files in {path}")
     merged = None
     for group in sorted(groups, key=lambda row: row["header"]):
-        part = spark.read.options(**MULTILINE).csv(group["files"])
+        # metadata gives paths percent-encoded, the reader takes them as they are
+        part = spark.read.options(**MULTILINE).csv([unquote(file) for file in group["files"]])
         for column, kind in (schemas or {}).items():
             if column in part.columns:
                 part = part.withColumn(column, F.col(f"`{column}`").cast(kind))
@@ -114,6 +116,3 @@ def write_replay_files(replay: DataFrame, path: str, files: int) -> None:
         "arrival_us"
     ).write.parquet(path)
 
-
-def changes_as_json(df: DataFrame) -> DataFrame:
-    return rows_as_json(df)
