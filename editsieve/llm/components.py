@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from editsieve.session import cut_lineage
+from editsieve.llm.exchange import written
 
 
 def components(links: DataFrame, left: str, right: str) -> DataFrame:
@@ -15,14 +15,14 @@ def components(links: DataFrame, left: str, right: str) -> DataFrame:
     a group of copies around one document is done in one. Nothing is collected.
     """
     pairs = links.select(F.least(left, right).alias("a"), F.greatest(left, right).alias("b")).filter("a < b").distinct()
-    pairs = cut_lineage(pairs)
+    pairs = written(pairs)
     label = None
     while not pairs.isEmpty():
         ends = pairs.union(pairs.select("b", "a"))
         parent = ends.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("parent"))
-        parent = cut_lineage(parent)
+        parent = written(parent)
         # a chain of pointers is followed two steps, which keeps the next round small
-        parent = cut_lineage(
+        parent = written(
             parent.alias("x").join(parent.alias("y"), F.col("x.parent") == F.col("y.node"))
             .select("x.node", F.col("y.parent").alias("parent"))
         )
@@ -31,12 +31,12 @@ def components(links: DataFrame, left: str, right: str) -> DataFrame:
         else:
             step = parent.withColumnRenamed("node", "component")
             label = label.join(step, "component", "left").select("node", F.coalesce("parent", "component").alias("component"))
-        label = cut_lineage(label)
+        label = written(label)
         pairs = (
             pairs.join(parent.selectExpr("node AS a", "parent AS pa"), "a").join(parent.selectExpr("node AS b", "parent AS pb"), "b")
             .select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).filter("a < b").distinct()
         )
-        pairs = cut_lineage(pairs)
+        pairs = written(pairs)
     if label is None:
         label = pairs.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return label

@@ -8,6 +8,7 @@ once per occurrence. The number of parts follows the number of words, so that a
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from editsieve.session import cut_lineage
+from editsieve.session import cut_lineage, shared_dir
 from editsieve.llm.words import split_words
 
 CHUNK_BYTES = 8 << 20
@@ -38,6 +39,16 @@ def from_bytes(data: bytes) -> pa.Table:
     return pa.ipc.open_stream(pa.py_buffer(data)).read_all()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: unlike a checkpoint it carries no constraints into later plans.
+
+    An iterative plan gathers constraints between columns with every step, until planning takes longer than running.
+    """
+    path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def pack(docs: DataFrame, text: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """All columns of ``docs`` in chunks of about ``chunk_bytes`` of text, written to the shared folder.
 

@@ -8,8 +8,9 @@ one. Sets that share a signature are compared exactly. Work goes in three steps,
 1. documents with equal sets are one (grouped by a 128-bit fingerprint of the set);
 2. of each signature, every set is compared with the first one that has it; that links groups of near copies in time
    linear in their size;
-3. what shares a signature but is not in one class yet is compared with each other, unless the guarantee of PartEnum
-   says that the pair must also share a signature that few sets have.
+3. what shares a signature but is not in one class yet is compared with each other. Where the guarantee of PartEnum
+   says that a pair must also share a signature that few sets have, frequent ones are left out; sets of frequent
+   signatures alone are compared with a few hubs of their group, and what that leaves apart with the group in blocks.
 """
 
 from __future__ import annotations
@@ -26,12 +27,14 @@ from pyspark.sql import DataFrame, functions as F
 from editsieve.llm import exchange
 from editsieve.llm.components import components
 from editsieve.llm.words import mix, runs, split_words
-from editsieve.session import cut_lineage
 
 SHINGLE = 5
 PERCENT = 80
 FREQUENT = 32  # sets that share a signature from which on it counts as frequent
 SEEDS = 6
+MASK_BYTES = 8 << 20
+HUBS = 8
+BLOCK = 256
 _LAST = np.iinfo(np.int64).max
 _U = np.uint64
 
@@ -173,12 +176,12 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per
     number of sets that share a signature.
     """
     chunks = exchange.pack(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), "text")
-    sets = cut_lineage(chunks.select("chunk", "data").mapInArrow(_describe(length), _SET_DDL))
+    sets = exchange.written(chunks.select("chunk", "data").mapInArrow(_describe(length), _SET_DDL))
     alike = sets.filter("n_shingles > 0").groupBy("print_a", "print_b").agg(
         F.min("id").alias("least"), F.min(F.struct("chunk", "row")).alias("one")
     )
-    alike = cut_lineage(alike.select("print_a", "print_b", "least", ((F.col("one.chunk") * (1 << 16)) + F.col("one.row")).alias("set")))
-    links = cut_lineage(_links(chunks, alike, percent, length))
+    alike = exchange.written(alike.select("print_a", "print_b", "least", ((F.col("one.chunk") * (1 << 16)) + F.col("one.row")).alias("set")))
+    links = exchange.written(_links(chunks, sets, alike, percent, length))
     label = components(links, "a", "b")
     # classes of sets, then of documents
     of_set = alike.join(label.withColumnRenamed("node", "set"), "set", "left").select(
@@ -186,7 +189,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per
     )
     smallest = of_set.groupBy("component").agg(F.min("least").alias("component_id"))
     of_set = of_set.join(smallest, "component").select("print_a", "print_b", "component_id")
-    joined = sets.join(of_set, ["print_a", "print_b"], "left")
+    joined = sets.drop("sketch").join(of_set, ["print_a", "print_b"], "left")
     real = F.when(F.col("id") != _LAST, F.col("id"))
     least = F.coalesce("component_id", "id")
     return joined.select(
@@ -194,7 +197,21 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per
     )
 
 
-_SET_DDL = "chunk long, row int, id long, n_shingles long, print_a long, print_b long"
+_SET_DDL = "chunk long, row int, id long, n_shingles long, print_a long, print_b long, sketch binary"
+
+
+def _sketch(shingle: np.ndarray) -> bytes:
+    """Numbers of shingles in equal ranges of the domain, about one or two in each."""
+    cells = max(5, len(shingle).bit_length() - 1)
+    return np.bincount((shingle >> _U(64 - cells)).astype(np.int64), minlength=1 << cells).clip(max=255).astype(np.uint8).tobytes()
+
+
+def _may_link(one: np.ndarray, two: np.ndarray, sizes: int, percent: int) -> bool:
+    """False only where the sketches prove that the sets do not link: each range's difference is in the symmetric one."""
+    cells = min(len(one), len(two))
+    x, y = (v.reshape(cells, -1).sum(axis=1, dtype=np.int64) for v in (one, two))
+    most = (sizes - int(np.abs(x - y).sum())) // 2
+    return 100 * most >= percent * (sizes - most)
 
 
 def _describe(length: int):
@@ -211,12 +228,13 @@ def _describe(length: int):
                     pa.array(np.full(rows, number)), pa.array(np.arange(rows), pa.int32()),
                     pc.fill_null(table.column("id"), _LAST).combine_chunks(), pa.array(sets.sizes, pa.int64()),
                     pa.array(prints[0]), pa.array(prints[1]),
+                    pa.array([_sketch(sets.shingle[a:b]) for a, b in zip(sets.first[:-1], sets.first[1:], strict=True)], pa.binary()),
                 ], schema=schema)
 
     return each
 
 
-def _links(chunks: DataFrame, alike: DataFrame, percent: int, length: int) -> DataFrame:
+def _links(chunks: DataFrame, sets: DataFrame, alike: DataFrame, percent: int, length: int) -> DataFrame:
     """Pairs (a, b) of sets that link and connect all that links connect. A set is named chunk * 65536 + row."""
     parts = exchange.parts_of(chunks)
     # which rows of a chunk stand for their set
@@ -228,44 +246,76 @@ def _links(chunks: DataFrame, alike: DataFrame, percent: int, length: int) -> Da
         order = np.argsort(signature, kind="stable")
         signature, row, slack = signature[order], row[order], slack[order]
         bounds = exchange.part_bounds(signature, parts)
-        row, slack = got[row].astype(np.uint16), slack.clip(0, 65535).astype(np.uint16)
+        # the part says the high bits; of the others 40 are sent, as sets that share those alone do no harm
+        low, high, row = signature.astype(np.uint32), (signature >> _U(32)).astype(np.uint8), got[row].astype(np.uint16)
+        slack = slack.clip(0, 255).astype(np.uint8)
         sent = (
-            (int(p), signature[a:b].tobytes() + row[a:b].tobytes() + slack[a:b].tobytes())
+            (int(p), low[a:b].tobytes() + row[a:b].tobytes() + high[a:b].tobytes() + slack[a:b].tobytes())
             for p in np.flatnonzero(np.diff(bounds)) for a, b in [(bounds[p], bounds[p + 1])]
         )
         return pa.Table.from_batches([exchange.messages(number, sent)])
 
     # buckets: sets with one signature, kept as flat arrays
-    buckets = cut_lineage(_per_chunk(chunks, members, sign, exchange.SENT_DDL).groupBy("part").applyInArrow(_buckets, "data binary"))
-    stars = cut_lineage(buckets.mapInArrow(_stars, "a long, b long").distinct())
-    first = cut_lineage(_verify(chunks, stars, percent, length))
-    label = components(first, "a", "b")
-    rest = _rest(buckets, stars, label)
-    return first.unionByName(_verify(chunks, rest, percent, length)) if not rest.isEmpty() else first
+    buckets = exchange.written(_per_chunk(chunks, members, sign, exchange.SENT_DDL).groupBy("part").applyInArrow(_buckets, "data binary"))
+    stars = exchange.written(buckets.mapInArrow(_stars, "a long, b long").distinct())
+    first = exchange.written(_verify(chunks, sets, stars, percent, length))
+    few, many = _rest(buckets, stars, components(first, "a", "b"))
+    if not few.isEmpty():
+        first = exchange.written(first.unionByName(_verify(chunks, sets, few, percent, length)))
+    if many.isEmpty():
+        return first
+    # sets of frequent signatures: compared with some hubs of their group, then what is left with the whole group
+    group = _grouped(many)
+    first = exchange.written(first.unionByName(_verify(chunks, sets, _to_hubs(_labelled(group, first)), percent, length)))
+    return first.unionByName(_by_blocks(chunks, _labelled(group, first), percent, length))
 
 
 def _per_chunk(chunks: DataFrame, rows: DataFrame, work, ddl: str) -> DataFrame:
-    """``work`` gets number and table of each chunk with the sorted rows that are asked for, if any."""
+    """``work`` gets number and table of each chunk with the sorted rows that are asked for, if any.
+
+    What is asked for is one bit per row of a chunk. Below ``MASK_BYTES`` in all (checked by the number of chunks) the
+    masks are broadcast and the chunks stay where they are; beyond it both are shuffled by chunk.
+    """
     schema = exchange.arrow_schema(ddl)
 
+    def pack(table: pa.Table) -> pa.Table:
+        asked = np.zeros(exchange.CHUNK_ROWS, np.uint8)
+        asked[table.column("row").to_numpy()] = 1
+        return pa.table([table.column("chunk")[:1], pa.array([np.packbits(asked).tobytes()], pa.binary())], ["chunk", "asked"])
+
+    def one(number: int, data, asked) -> pa.Table:
+        got = np.flatnonzero(np.unpackbits(np.frombuffer(asked, np.uint8)))
+        return work(number, exchange.from_bytes(data), got).cast(schema)
+
     def each(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return schema.empty_table()
-        got = np.unique(right.column("row").to_numpy())
-        return work(left.column("chunk")[0].as_py(), exchange.from_bytes(left.column("data")[0].as_buffer()), got).cast(schema)
+        return one(left.column("chunk")[0].as_py(), left.column("data")[0].as_buffer(), right.column("asked")[0].as_buffer())
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, data, asked in zip(batch.column("chunk").to_pylist(), batch.column("data"), batch.column("asked"), strict=True):
+                yield from one(number, data.as_buffer(), asked.as_buffer()).to_batches()
 
-    return chunks.select("chunk", "data").groupBy("chunk").cogroup(rows.groupBy("chunk")).applyInArrow(each, ddl)
+    masks = rows.groupBy("chunk").applyInArrow(pack, "chunk long, asked binary")
+    held = chunks.select("chunk", "data")
+    if chunks.count() * (exchange.CHUNK_ROWS // 8) <= MASK_BYTES:
+        return held.join(F.broadcast(masks), "chunk").select("chunk", "data", "asked").mapInArrow(mapped, ddl)
+    return held.groupBy("chunk").cogroup(masks.groupBy("chunk")).applyInArrow(each, ddl)
 
 
 def _buckets(table: pa.Table) -> pa.Table:
     """Of the messages to a part: sizes of the buckets of two or more sets, their signatures, members, and slacks."""
     held = [(c, memoryview(x.as_buffer())) for c, x in zip(table.column("chunk").to_pylist(), table.column("data"), strict=True)]
-    sizes = [len(m) // 12 for _, m in held]
-    signature = np.concatenate([np.frombuffer(m, _U, n) for (_, m), n in zip(held, sizes, strict=True)])
+    sizes = [len(m) // 8 for _, m in held]
+    signature = np.concatenate([
+        np.frombuffer(m, np.uint32, n) | np.frombuffer(m, np.uint8, n, 6 * n).astype(_U) << _U(32)
+        for (_, m), n in zip(held, sizes, strict=True)
+    ])
     member = np.concatenate([
-        np.frombuffer(m, np.uint16, n, 8 * n).astype(np.int64) + (c << 16) for (c, m), n in zip(held, sizes, strict=True)
+        np.frombuffer(m, np.uint16, n, 4 * n).astype(np.int64) + (c << 16) for (c, m), n in zip(held, sizes, strict=True)
     ])
-    slack = np.concatenate([np.frombuffer(m, np.uint16, n, 10 * n) for (_, m), n in zip(held, sizes, strict=True)])
+    slack = np.concatenate([np.frombuffer(m, np.uint8, n, 7 * n) for (_, m), n in zip(held, sizes, strict=True)])
     order = np.lexsort((member, signature))
     signature, member, slack = signature[order], member[order], slack[order]
     begin = np.flatnonzero(np.append(True, signature[1:] != signature[:-1]))
@@ -290,11 +340,11 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"])
 
 
-def _rest(buckets: DataFrame, stars: DataFrame, label: DataFrame) -> DataFrame:
-    """Pairs that share a signature, are in different classes so far and have not been compared.
+def _rest(buckets: DataFrame, stars: DataFrame, label: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What shares a signature and is in different classes so far: pairs by rare signatures, members of frequent ones.
 
     A set whose slack exceeds the number of its frequent signatures is sure to share a rare one with each partner, so
-    its frequent ones are left out. What stays is paired with what has another class, block by block.
+    its frequent ones are left out.
     """
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -303,58 +353,130 @@ def _rest(buckets: DataFrame, stars: DataFrame, label: DataFrame) -> DataFrame:
                 signature, n = np.unique(table.column("signature").to_numpy(), return_counts=True)
                 size = np.repeat(n, n)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.repeat(signature, n).view(np.int64)), table.column("member").combine_chunks(),
+                    pa.array(mix(np.repeat(signature, n)).view(np.int64)), table.column("member").combine_chunks(),
                     pa.array(table.column("slack").to_numpy().astype(np.int32)), pa.array(size > FREQUENT),
                 ], ["signature", "node", "slack", "frequent"])
 
     held = buckets.mapInArrow(rows, "signature long, node long, slack int, frequent boolean")
     held = held.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = held.groupBy("signature").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-    held = cut_lineage(held.join(mixed.select("signature"), "signature", "left_semi"))
+    held = exchange.written(held.join(mixed.select("signature"), "signature", "left_semi"))
     frequent = held.filter("frequent").groupBy("node").agg(F.count("*").alias("n_frequent"), F.min("slack").alias("slack"))
     stuck = frequent.filter("n_frequent >= slack").select("node")
-    few = held.filter("NOT frequent")
-    many = cut_lineage(held.filter("frequent").join(stuck, "node", "left_semi"))
-    salts = 16
-    pairs = _cross(few, 1)
-    if not many.isEmpty():
-        pairs = pairs.unionByName(_cross(many, salts))
-    compared = stars.select("a", "b")
-    return cut_lineage(pairs.distinct().join(compared, ["a", "b"], "left_anti"))
-
-
-def _cross(held: DataFrame, salts: int) -> DataFrame:
-    """Pairs of different classes within a signature; a large bucket is cut into blocks that meet pairwise."""
-    block = F.pmod(F.xxhash64("node"), F.lit(salts)).cast("int")
-    one = held.select("signature", F.col("node").alias("a"), F.col("component").alias("ca"), block.alias("block"))
-    two = held.select("signature", F.col("node").alias("b"), F.col("component").alias("cb"))
-    if salts > 1:
-        two = two.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        return one.join(two, ["signature", "block"]).filter("a < b AND ca != cb").select("a", "b")
-    return one.join(two, "signature").filter("a < b AND ca != cb").select("a", "b")
-
-
-def _verify(chunks: DataFrame, pairs: DataFrame, percent: int, length: int) -> DataFrame:
-    """Pairs whose sets link, compared exactly on their hashed shingles."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = nodes.select(F.shiftright("node", 16).alias("chunk"), F.col("node").bitwiseAND(0xFFFF).cast("int").alias("row"))
+    many = exchange.written(held.filter("frequent").join(stuck, "node", "left_semi").select("signature", "node"))
+    rare = held.filter("NOT frequent")
+    one = rare.select("signature", F.col("node").alias("a"), F.col("component").alias("ca"))
+    two = rare.select("signature", F.col("node").alias("b"), F.col("component").alias("cb"))
+    pairs = one.join(two, "signature").filter("a < b AND ca != cb").select("a", "b").distinct()  # at most FREQUENT each
+    return exchange.written(pairs.join(stars, ["a", "b"], "left_anti")), many
 
-    def fetch(number: int, table: pa.Table, got: np.ndarray) -> pa.Table:
-        sets = shingle_sets(table.column("text").take(pa.array(got)), length)
-        data = [sets.shingle[a:b].tobytes() for a, b in zip(sets.first[:-1], sets.first[1:], strict=True)]
-        return pa.table({"node": pa.array(got.astype(np.int64) + (number << 16)), "n": sets.sizes, "shingles": pa.array(data, pa.binary())})
-
-    sets = cut_lineage(_per_chunk(chunks, wanted, fetch, "node long, n long, shingles binary"))
-    # sizes decide many pairs before any set is shuffled
-    sizes = sets.select("node", "n")
-    near = (
-        pairs.join(sizes.selectExpr("node AS a", "n AS na"), "a").join(sizes.selectExpr("node AS b", "n AS nb"), "b")
-        .filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).select("a", "b")
+
+def _grouped(many: DataFrame) -> DataFrame:
+    """(node, grp): sets that frequent signatures connect, similar or not."""
+    hub = many.groupBy("signature").agg(F.min("node").alias("hub"))
+    joined = components(many.join(hub, "signature").select("hub", "node"), "hub", "node")
+    return exchange.written(joined.select("node", F.col("component").alias("grp")))
+
+
+def _labelled(group: DataFrame, links: DataFrame) -> DataFrame:
+    """node, grp, component so far, and whether that is the largest of its group."""
+    rows = group.join(components(links, "a", "b"), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    sizes = rows.groupBy("grp", "component").agg(F.count("*").alias("n"))
+    top = sizes.groupBy("grp").agg(F.max(F.struct("n", "component"))["component"].alias("top"), F.sum("n").alias("size"))
+    return exchange.written(rows.join(top, "grp").withColumn("inner", F.col("component") == F.col("top")).drop("top"))
+
+
+def _to_hubs(rows: DataFrame) -> DataFrame:
+    """Each set outside the largest class of its group with ``HUBS`` sets of that class."""
+    hubs = rows.filter("inner").groupBy("grp").agg(
+        F.array(*[F.min(F.struct(F.xxhash64("node", F.lit(k)), "node"))["node"] for k in range(HUBS)]).alias("hubs")
     )
+    pairs = rows.filter("NOT inner").join(hubs, "grp").select("node", F.explode(F.array_distinct("hubs")).alias("hub"))
+    return exchange.written(pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct())
+
+
+def _by_blocks(chunks: DataFrame, rows: DataFrame, percent: int, length: int) -> DataFrame:
+    """Links of the sets outside the largest class of their group with all sets of the group.
+
+    Blocks of sets meet as matrices of shingles; a pair of blocks is one row, and it gives only links, one for each
+    set and class that it meets.
+    """
+    whole = exchange.written(_sets_of(chunks, rows.select("node"), length))
+    packed = rows.join(whole, "node").withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / BLOCK)))
+
+    def pack(table: pa.Table) -> pa.Table:
+        held = table.select(["node", "component", "shingles"])
+        return pa.table([table.column("grp")[:1], pa.array([exchange.to_bytes(held)], pa.binary())], ["grp", "data"])
+
+    def blocks(some: DataFrame) -> DataFrame:
+        some = some.select("grp", "block", "node", "component", "shingles")
+        return exchange.written(some.groupBy("grp", "block").applyInArrow(pack, "grp long, data binary"))
+
+    asked = blocks(packed.filter("NOT inner")).withColumnRenamed("data", "asked")
+    cells = asked.join(blocks(packed), "grp").repartition(F.xxhash64("asked", "data"))
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for one, two in zip(batch.column("asked"), batch.column("data"), strict=True):
+                a, b = (exchange.from_bytes(x.as_buffer()) for x in (one, two))
+                x, y = _matching(a, b, percent)
+                left, right = a.column("node").to_numpy()[x], b.column("node").to_numpy()[y]
+                _, at = np.unique(np.stack([left, b.column("component").to_numpy()[y]]), axis=1, return_index=True)
+                at = at[left[at] != right[at]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.minimum(left, right)[at]), pa.array(np.maximum(left, right)[at])], ["a", "b"]
+                )
+
+    return cells.mapInArrow(meet, "a long, b long")
+
+
+def _matching(one: pa.Table, two: pa.Table, percent: int, width: int = 2048) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of two blocks whose sets link, other than a set with itself."""
+    sets = [[np.frombuffer(x.as_buffer(), _U) for x in t.column("shingles")] for t in (one, two)]
+    sizes = [np.array([len(s) for s in side]) for side in sets]
+    flat = [np.concatenate(side) for side in sets]
+    row = [np.repeat(np.arange(len(n)), n) for n in sizes]
+    both = np.intersect1d(*flat)
+    common = np.zeros((len(sizes[0]), len(sizes[1])))
+    for at in range(0, len(both), width):
+        part = both[at : at + width]
+        held = []
+        for key, r, n in zip(flat, row, sizes, strict=True):
+            place = np.searchsorted(part, key).clip(max=len(part) - 1)
+            some = part[place] == key
+            matrix = np.zeros((len(n), len(part)), np.float32)
+            matrix[r[some], place[some]] = 1
+            held.append(matrix)
+        common += held[0] @ held[1].T
+    union = sizes[0][:, None] + sizes[1][None, :] - common
+    other = one.column("node").to_numpy()[:, None] != two.column("node").to_numpy()[None, :]
+    return np.nonzero((100 * common >= percent * union) & other)
+
+
+def _verify(chunks: DataFrame, sets: DataFrame, pairs: DataFrame, percent: int, length: int) -> DataFrame:
+    """Pairs whose sets link: sketches rule most others out, what is left is compared exactly on hashed shingles."""
+    node = ((F.col("chunk") * (1 << 16)) + F.col("row")).alias("node")
+    known = sets.select(node, F.col("n_shingles").alias("n"), "sketch")
     met = (
-        near.join(sets.selectExpr("node AS a", "shingles AS sa"), "a").join(sets.selectExpr("node AS b", "shingles AS sb"), "b")
+        pairs.join(known.selectExpr("node AS a", "n AS na", "sketch AS sa"), "a")
+        .join(known.selectExpr("node AS b", "n AS nb", "sketch AS sb"), "b")
+        .filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
     )
 
+    def plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = pc.add(batch.column("na"), batch.column("nb")).to_pylist()
+            keep = [
+                _may_link(np.frombuffer(x.as_buffer(), np.uint8), np.frombuffer(y.as_buffer(), np.uint8), n, percent)
+                for x, y, n in zip(batch.column("sa"), batch.column("sb"), sizes, strict=True)
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    near = exchange.written(met.mapInArrow(plausible, "a long, b long"))
+    nodes = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
+    whole = exchange.written(_sets_of(chunks, nodes, length))
+    met = near.join(whole.selectExpr("node AS a", "shingles AS sa"), "a").join(whole.selectExpr("node AS b", "shingles AS sb"), "b")
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -365,3 +487,15 @@ def _verify(chunks: DataFrame, pairs: DataFrame, percent: int, length: int) -> D
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return met.mapInArrow(compare, "a long, b long")
+
+
+def _sets_of(chunks: DataFrame, nodes: DataFrame, length: int) -> DataFrame:
+    """(node, shingles) of distinct nodes, from the texts."""
+    wanted = nodes.select(F.shiftright("node", 16).alias("chunk"), F.col("node").bitwiseAND(0xFFFF).cast("int").alias("row"))
+
+    def fetch(number: int, table: pa.Table, got: np.ndarray) -> pa.Table:
+        found = shingle_sets(table.column("text").take(pa.array(got)), length)
+        data = [found.shingle[a:b].tobytes() for a, b in zip(found.first[:-1], found.first[1:], strict=True)]
+        return pa.table({"node": pa.array(got.astype(np.int64) + (number << 16)), "shingles": pa.array(data, pa.binary())})
+
+    return _per_chunk(chunks, wanted, fetch, "node long, shingles binary")
