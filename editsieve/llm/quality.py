@@ -169,7 +169,7 @@ def score(
     aggregates by host and path are grouped with partial sums, so a host with a third of all rows is no burden; they
     are joined back on host and path, and broadcast only where Spark finds them small.
     """
-    docs = docs.drop("quality_score", "is_good", "_evidence", "_host", "_path")
+    docs = docs.drop("quality_score", "is_good", "_evidence", "_host", "_path", "_rate")
     host, path = F.coalesce(F.col(host_col).cast("string"), F.lit("")), F.coalesce(F.col(path_col).cast("string"), F.lit(""))
     probability = 1 / (1 + F.exp(-F.col("_evidence")))
     seen = with_evidence(docs.select(host.alias("_host"), path.alias("_path"), text_col), model, text_col)
