@@ -17,9 +17,10 @@ from pyspark.sql import DataFrame
 from editsieve.llm import grid
 
 TREES = 24
-LEAF = 64
+LEAF = 16
 #: Share of a block that is compared exactly. The recall that it gives on given vectors is in the README.
-SEARCHED = 0.5
+SEARCHED = 0.6
+LEAST = 512  # rows that are compared in any case
 SEED = 7
 
 
@@ -95,7 +96,7 @@ def best(asked_ids: np.ndarray, asked: np.ndarray, ids: np.ndarray, vectors: np.
     forest = Forest(units)
     out = []
     for number, query, norm in zip(asked_ids, asked, asked_norms, strict=True):
-        rows = forest.candidates(query / norm, max(4 * k, int(searched * len(ids))))
+        rows = forest.candidates(query / norm, max(4 * k, LEAST, int(searched * len(ids))))
         rows = rows[ids[rows] != number]
         score = (vectors[rows] @ query) / (norms[rows] * norm)
         if len(rows) > 4 * k:
