@@ -34,7 +34,8 @@ CHUNK_BYTES = 12 << 20
 FOLDS, HELD_OUT = 7, 2
 _U = np.uint64
 _BEGIN, _END = _U(0x243F6A8885A308D3), _U(0x13198A2E03707344)
-_CODES = 2500.0  # a count is answered as its logarithm in steps of 1 / 2500
+_CODES, _ZERO = 2500.0, 5_000  # a count is answered as its logarithm in steps of 1 / 2500; ``_ZERO`` stands for 1
+_FAR = 65_535  # code of a count beyond the codes (some 3e10), which is answered in full
 _SHIFT = _U(24)  # followers are named by 40 bits of their hash
 
 
@@ -307,8 +308,6 @@ def _answers(parts: int, heavy_types: int):
         fresh = (ROOT_STRENGTH + ROOT_DISCOUNT * all_tables) / room / (types + 1)
         value = np.zeros(len(part.count))
         value[part.known] = part.count[part.known] - DISCOUNT * part.seating.mean_tables
-        code = np.zeros(len(value), np.uint16)
-        code[part.known] = np.clip(np.rint(np.log(value[part.known].clip(1e-4)) * _CODES) + 25_000, 1, 65_535)
         out, at = [], 0
         for own, pairs in zip(part.owned, part.where, strict=True):
             size, total = _look_up(part.names, own, part.customers, part.seating.mean_total)
@@ -319,7 +318,7 @@ def _answers(parts: int, heavy_types: int):
             parent = (r - ROOT_DISCOUNT * k) / room + fresh
             out.append(b"".join((
                 np.array([types, len(own)], np.float64).tobytes(), size.astype(_U).tobytes(), total.astype(np.float32).tobytes(),
-                parent.astype(np.float32).tobytes(), code[part.pair[at : at + pairs]].tobytes(),
+                parent.astype(np.float32).tobytes(), coded(value[part.pair[at : at + pairs]]),
             )))
             at += pairs
         return pa.table([left.column("part"), left.column("chunk"), pa.array(out, pa.binary())], schema=exchange.SENT)
@@ -327,6 +326,22 @@ def _answers(parts: int, heavy_types: int):
     return each
 
 
+def coded(value: np.ndarray) -> bytes:
+    """Discounted counts, 0 or at least 1 less the discount: two bytes each, then in full those that no code reaches."""
+    code = np.zeros(len(value), np.uint16)
+    some = value > 0
+    code[some] = np.clip(np.rint(np.log(value[some]) * _CODES) + _ZERO, 1, _FAR)
+    return code.tobytes() + value[code == _FAR].tobytes()
+
+
+def decoded(read: Read, count: int) -> np.ndarray:
+    code = read(np.uint16, count)
+    value = np.where(code > 0, np.exp((code - float(_ZERO)) / _CODES), 0.0)
+    far = code == _FAR
+    value[far] = read(np.float64, far.sum())
+    return value
+
+
 def _look_up(names: np.ndarray, wanted: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
     """Values of the sorted ``names`` for ``wanted``, 0 where there is none."""
     if not len(names):
@@ -373,14 +388,13 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         edges = np.arange(parts + 1)
         ends, owned = np.searchsorted(pairs.part, edges), np.searchsorted(part_of(pairs.names, parts), edges)
         size, total, parent = np.zeros(names), np.zeros(names), np.zeros(names)
-        code, types = np.zeros(len(pairs.count), np.uint16), 0.0
+        value, types = np.zeros(len(pairs.count)), 0.0
         for p, data in got:
             read = Read(data)
             types, n = read(np.float64, 2).tolist()
             own = slice(owned[p], owned[p + 1])
             size[own], total[own], parent[own] = read(_U, n), read(np.float32, n), read(np.float32, n)
-            code[ends[p] : ends[p + 1]] = read(np.uint16, ends[p + 1] - ends[p])
-        value = np.where(code > 0, np.exp((code - 25_000.0) / _CODES), 0.0)
+            value[ends[p] : ends[p + 1]] = decoded(read, ends[p + 1] - ends[p])
         of = pairs.context
         chance = (value + (STRENGTH + DISCOUNT * total[of]) * parent[pairs.word]) / (STRENGTH + size[of])
         size[pairs.names == _END] = texts

@@ -2,6 +2,7 @@
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -164,3 +165,20 @@ def test_probabilities_of_a_context_sum_to_one():
     held = (count - pitmanyor.DISCOUNT * seating.mean_tables).sum()
     left = pitmanyor.STRENGTH + pitmanyor.DISCOUNT * seating.mean_total[0]
     assert held + left == pytest.approx(pitmanyor.STRENGTH + count.sum())
+
+
+def test_counts_of_frequent_pairs_are_answered_whole():
+    table = pa.table({"id": pa.array([1], pa.int64()), "text": ["a b a c b c c"]})
+    pairs = pitmanyor.pairs_of(table, np.zeros(0, np.uint64), 1)
+    pairs.count[:] = np.array([1, 2, 4e7, 3e8, 2e10, 1e11, 3e12, 1e6])[np.arange(len(pairs.count)) % 8]
+    names, n = len(pairs.names), len(pairs.count)
+    data = pitmanyor.message(pairs.names, pairs, 0, n, 0, names)
+    left = pa.table({"part": pa.array([0], pa.int32()), "chunk": pa.array([0], pa.int64()), "data": [data]})
+    out = pitmanyor._answers(1, 0)(left.cast(pitmanyor.exchange.SENT), pa.table({}))
+    read = pitmanyor.Read(out.column("data")[0].as_py())
+    for kind, count in ((np.float64, 2), (np.uint64, names), (np.float32, names), (np.float32, names)):
+        read(kind, count)
+    value = pitmanyor.decoded(read, n)
+    assert read.at == len(read.data)
+    tables = pitmanyor.Part(0, [data], 1).seating.mean_tables
+    assert value == pytest.approx(pairs.count - pitmanyor.DISCOUNT * tables, rel=3e-4)
