@@ -1,7 +1,8 @@
 """Main text of web pages from the events of a streaming parser and the density of text against tags.
 
 The parser's events become lines: one per block, with its text, its tags, its links and the elements around it. Lines
-in menus, headers, footers, sidebars, notices, adverts, forms and comments are set aside by their elements. The ratio
+in menus, headers, footers, sidebars, notices, adverts, forms and comments are set aside by their elements. What is set
+aside by a name or as a form only is a wrapper: its lines wait, and come back if it turns out to hold the page. The ratio
 of text to tags of the other lines, smoothed by a Gaussian along the page and clustered by a threshold of its spread,
 finds the content regions; the element that holds the weightiest region is the article, and all of its lines are kept,
 short ones too.
@@ -51,6 +52,10 @@ BOILERPLATE = frozenset(
 # A header with one of these names belongs to the article.
 CONTENT_NAMES = frozenset("content article post entry main body story text title section".split())
 _READERS = frozenset("comment comments reply replies".split())
+# Wrappers of these names come back only if nothing else is left, as they may well be longer than the article.
+_APART = _READERS | frozenset(
+    "commentlist disqus respond discussion cookie cookies consent gdpr related recommended recommendations trending popular".split()
+)
 _STATES = frozenset("no has with without is".split())
 _WORD = re.compile(r"[a-z]+|\d+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -62,11 +67,24 @@ class Line:
     """A block of text: ``home`` is the number of the element that holds it."""
 
     home: int
-    parts: list[str] = field(default_factory=list)
+    events: list[tuple[int, str | None, bool]] = field(default_factory=list)  # wrapper, text (None: a tag), whether linked
     tags: int = 0
     linked: int = 0
     text: str = ""
 
+    def read(self, back: list[bool]) -> bool:
+        """Text, tags and links without wrappers that are not ``back``; whether there is any text."""
+        parts: list[str] = []
+        self.tags = self.linked = 0
+        for wrapper, data, linked in self.events:
+            if data is None:
+                self.tags += bool(parts)
+            elif back[wrapper] and (parts or data.strip()):
+                parts.append(data)
+                self.linked += len(data) * linked
+        self.text = _GAPS.sub(" ", "".join(parts)).strip(" ")
+        return bool(self.text)
+
 
 class Page(HTMLParser):
     """Collects the lines of a page and its tree of block elements."""
@@ -74,7 +92,8 @@ class Page(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.names, self.parent, self.main = ["#page"], [-1], [False]
-        self.open: list[tuple[str, int, bool]] = []  # name, element, whether it is set aside
+        self.open: list[tuple[str, int, bool, int]] = []  # name, element, whether it is set aside, wrapper
+        self.wrappers: list[tuple[int, int, bool, int]] = [(0, 0, False, 0)]  # outer one, element around it, if ``_APART``, element
         self.lines: list[Line] = []
         self.line: Line | None = None
         self.links = 0
@@ -87,6 +106,9 @@ class Page(HTMLParser):
     def _aside(self) -> bool:
         return bool(self.open) and self.open[-1][2]
 
+    def _wrapper(self) -> int:
+        return self.open[-1][3] if self.open else 0
+
     def _break(self) -> None:
         self.line = None
 
@@ -104,8 +126,8 @@ class Page(HTMLParser):
                 self._break()
             return
         if self.line is not None and tag not in BLOCKS:
-            self.line.tags += 1
-        home = self._home()
+            self.line.events.append((self._wrapper(), None, False))
+        home = outside = self._home()
         if tag in BLOCKS:
             self._break()
             self.names.append(tag)
@@ -114,7 +136,11 @@ class Page(HTMLParser):
             home = len(self.names) - 1
         if tag == "a":
             self.links += 1
-        self.open.append((tag, home, self._aside() or self._is_aside(tag, attrs)))
+        aside, wrapper = self._aside() or self._is_aside(tag, attrs), self._wrapper()
+        if not aside and (names := self._set_aside_names(tag, attrs)) is not None:
+            self.wrappers.append((wrapper, outside, not _APART.isdisjoint(names), home))
+            wrapper = len(self.wrappers) - 1
+        self.open.append((tag, home, aside, wrapper))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)  # a browser reads <p/> as <p>
@@ -122,7 +148,7 @@ class Page(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag == "br":
             self.handle_data(" ")
-        elif tag == "p" and not any(name == "p" for name, _, _ in self.open):
+        elif tag == "p" and not any(x[0] == "p" for x in self.open):
             self._break()
         else:
             scope = BLOCKS if tag not in BLOCKS else frozenset(["article", "main", "nav", "aside", "footer"]) - {tag}
@@ -150,15 +176,13 @@ class Page(HTMLParser):
                 return
             self.line = Line(self._home())
             self.lines.append(self.line)
-        self.line.parts.append(data)
-        if self.links:
-            self.line.linked += len(data)
+        self.line.events.append((self._wrapper(), data, self.links > 0))
 
     def _is_aside(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-        if tag in HIDDEN or tag in ASIDE:
+        if tag in HIDDEN and tag != "form" or tag in ASIDE:
             return True
         if tag == "header":
-            return not any(self.main[home] for _, home, _ in self.open)
+            return not any(self.main[x[1]] for x in self.open)
         if not attrs or tag in ("html", "body"):
             return False
         named = dict(attrs)
@@ -167,22 +191,27 @@ class Page(HTMLParser):
         if (named.get("role") or "").lower() in ASIDE_ROLES:
             return True
         style = (named.get("style") or "").replace(" ", "").lower()
-        if "display:none" in style or "visibility:hidden" in style:
-            return True
-        inside_main = any(self.main[home] for _, home, _ in self.open)
+        return "display:none" in style or "visibility:hidden" in style
+
+    def _set_aside_names(self, tag: str, attrs: list[tuple[str, str | None]]) -> set[str] | None:
+        """The words in the names of a wrapper, None for other elements."""
+        if tag in ("html", "body", "header"):
+            return None
+        found, all_names = tag == "form", set()
+        named = dict(attrs)
+        inside_main = any(self.main[x[1]] for x in self.open)
         for value in (named.get("class"), named.get("id")):
             for word in (value or "").split():
                 words = _WORD.findall(_CAMEL.sub("-", word).lower())
-                if not words or words[0] in _STATES:
-                    continue
+                # what follows a state is not what the element is: no-sidebar, page-with-sidebar
+                words = words[: next((k for k, x in enumerate(words) if x in _STATES), len(words))]
+                all_names.update(words)
                 if tag in ("article", "main"):
-                    if not _READERS.isdisjoint(words):
-                        return True
-                elif not BOILERPLATE.isdisjoint(words):
-                    return True
-                elif "header" in words and not inside_main and CONTENT_NAMES.isdisjoint(words):
-                    return True
-        return False
+                    found |= not _READERS.isdisjoint(words)
+                else:
+                    found |= not BOILERPLATE.isdisjoint(words)
+                    found |= "header" in words and not inside_main and CONTENT_NAMES.isdisjoint(words)
+        return all_names if found else None
 
 
 def _value(attrs: list[tuple[str, str | None]], name: str) -> str:
@@ -193,15 +222,60 @@ def parse(html: str) -> Page:
     page = Page()
     page.feed(html)
     page.close()
-    kept = []
-    for line in page.lines:
-        line.text = _GAPS.sub(" ", "".join(line.parts)).strip(" ")
-        if line.text:
-            kept.append(line)
-    page.lines = kept
+    back = wrappers_back(page)
+    page.lines = [line for line in page.lines if line.read(back)]
     return page
 
 
+def wrappers_back(page: Page) -> list[bool]:
+    """Which wrappers' lines count after all; the first stands for text that is in none.
+
+    A wrapper comes back if it holds most of the weighted text of the page, or of the article that it is in; text that is
+    ``_APART`` does not count for that. So do those around a <main>, and around an <article> that outweighs all that is in
+    no wrapper. If nothing is left then, all come back, those of ``_APART`` last.
+    """
+    wrappers = page.wrappers
+    count = len(wrappers)
+    if count == 1:
+        return [True]
+    apart, article = [False] * count, [0] * len(page.names)
+    for w in range(1, count):
+        apart[w] = wrappers[w][2] or apart[wrappers[w][0]]
+    for k in range(1, len(page.names)):  # the outermost article around
+        article[k] = article[page.parent[k]] or k * page.main[k]
+    inside, scope, own = [0.0] * count, {0: 0.0}, {}
+    for line in page.lines:
+        tags = sum(data is None for _, data, _ in line.events)
+        for w, data, linked in line.events:
+            if data is not None and not linked and (mass := len(data.strip()) / (1 + tags)):
+                inside[w] += mass
+                own[w, article[line.home]] = own.get((w, article[line.home]), 0.0) + mass
+                if not apart[w]:
+                    for k in {0, article[line.home]}:
+                        scope[k] = scope.get(k, 0.0) + mass
+    free = {k: mass for (w, k), mass in own.items() if not w}
+    named = any(free.get(k) for k in free if k)
+    rest = sum(mass for k, mass in free.items() if k or not named)
+    back = [True] + [False] * (count - 1)
+    for w in range(count - 1, 0, -1):
+        if not apart[w]:
+            inside[wrappers[w][0]] += inside[w]
+            back[w] = inside[w] > 0.5 * scope.get(article[wrappers[w][1]], 0.0)
+    for (w, k), mass in own.items():
+        # only those around the article: of what is set aside in it nothing comes back by this
+        if w and k and article[wrappers[w][1]] != k != wrappers[w][3] and not named and (page.names[k] == "main" or mass > rest):
+            while w:
+                back[w], w = True, wrappers[w][0]
+    for also in ([not x for x in apart], [True] * count):
+        seen = [True] * count
+        for w in range(1, count):
+            seen[w] = back[w] and seen[wrappers[w][0]]
+        if any(line.read(seen) for line in page.lines):
+            return seen
+        back = also
+    return back
+
+
 def smooth(ratio: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     """Gaussian smoothing along the page; the edges count the nearest line again."""
     reach = max(1, int(3 * sigma))

@@ -39,6 +39,26 @@ def test_main_text(page, text):
     assert html.main_text(page) == text
 
 
+WRAPPED = [
+    *[
+        (f"<div class='{name}'><nav>n</nav><article><h1>T</h1><p>{LONG}</p></article><div class=sidebar>s</div></div>", f"T\n\n{LONG}")
+        for name in ("page-with-sidebar", "layout-sidebar-right", "widget-content", "search-results-page", "comments-enabled")
+    ],
+    (f"<body><form id=aspnetForm><div class=text><p>{LONG}</p><p>x</p></div><div class=advert>a</div></form></body>", f"{LONG}\n\nx"),
+    (f"<div class=widget-content><p>{LONG}</p></div><p>f</p><div class=comments>{LONG} {LONG} {LONG}</div>", LONG),
+    # teasers, comments and notices stay out, however long
+    (f"<div class=text><p>{LONG}</p></div><div class=related><article>{LONG}</article></div>", LONG),
+    (f"<div class=text><p>{LONG}</p></div><article class=comment>{LONG} {LONG}</article>", LONG),
+    (f"<main><p>{LONG}</p></main><form>{LONG} {LONG} {LONG}</form>", LONG),
+    (f"<article><p>{LONG} <span class=share>s <b>t</b></span> end</p></article>", f"{LONG} end"),
+]
+
+
+@pytest.mark.parametrize("page,text", WRAPPED)
+def test_wrappers_that_hold_the_page_come_back(page, text):
+    assert html.main_text(page) == text
+
+
 def test_table_with_nulls_and_clashing_columns(spark):
     rows = [(1, "u", "<p>a</p>", 1), (None, None, None, 2), (1, "u", "<p>a</p>", 1), (2, "u", "<p>" + "w " * 200_000, 3)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
