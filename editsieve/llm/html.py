@@ -4,8 +4,8 @@ The parser's events become lines: one per block, with its text, its tags, its li
 in menus, headers, footers, sidebars, notices, adverts, forms and comments are set aside by their elements. What is set
 aside by a name or as a form only is a wrapper: its lines wait, and come back if it turns out to hold the page. The ratio
 of text to tags of the other lines, smoothed by a Gaussian along the page and clustered by a threshold of its spread,
-finds the content regions; the element that holds the weightiest region is the article, and all of its lines are kept,
-short ones too.
+finds the content regions. Where the page names its article, the one with the weightiest region is taken; else the innermost
+element around all regions is the article. All of its lines are kept, short ones too.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from editsieve.llm.exchange import arrow_schema, extended
 
 SIGMA = 1.0
 THRESHOLD = 0.5  # standard deviations of the smoothed ratio below its mean that still count as content
+SPARSE = 25  # a ratio from which on a line without links counts as content, however dense the others are
 
 # Elements by their role in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -309,12 +310,14 @@ def article(page: Page) -> list[Line]:
         # where the page names its article, only the lines in it compete
         lines = [line for line, ok in zip(lines, inside, strict=True) if ok]
     ratio = np.array([max(0, len(line.text) - line.linked) / (1 + line.tags) for line in lines], float)
-    soft = smooth(ratio)
-    weight: dict[int, float] = {}
+    found = regions(smooth(ratio))
+    if not any(inside):
+        return around(page, lines, chain, ratio, found)
     best, region = -1.0, (0, len(lines))
-    for a, b in regions(soft):
+    for a, b in found:
         if (mass := float(ratio[a:b].sum())) > best:
             best, region = mass, (a, b)
+    weight: dict[int, float] = {}
     # the element that holds most of the region: as deep as it keeps nine tenths of the region's text
     for line, mass in zip(lines[slice(*region)], ratio[slice(*region)], strict=True):
         for k in chain[line.home]:
@@ -328,6 +331,32 @@ def article(page: Page) -> list[Line]:
     return [line for line in lines if home in chain[line.home]]
 
 
+def around(page: Page, lines: list[Line], chain: dict[int, list[int]], ratio: np.ndarray, found: list[tuple[int, int]]) -> list[Line]:
+    """On a page that doesn't name its article, the lines of the innermost element around all regions and the headings before.
+
+    Lines from ``SPARSE`` on are regions too, lines full of links are none. Those before the first or after the last region stay behind, if they are in
+    elements of their own.
+    """
+    linked = [2 * line.linked > len(line.text) for line in lines]
+    within = {k for a, b in found for k in range(a, b)}
+    dense = [k for k in range(len(lines)) if not linked[k] and (k in within or ratio[k] >= SPARSE)]
+    if not dense:
+        dense = sorted(within)
+    titles = [k for k in range(dense[0]) if not linked[k] and not _HEADINGS.isdisjoint(page.names[x] for x in chain[lines[k].home])]
+    dense = titles + dense
+    common = chain[lines[dense[0]].home]
+    for k in dense:
+        common = [x for x, y in zip(common, chain[lines[k].home]) if x == y]
+    home = [x for x in common if page.names[x] in _HOLDERS][-1]
+    holders = [[x for x in chain[line.home] if page.names[x] in _HOLDERS] for line in lines]
+    held = {x for k in dense for x in holders[k]}
+    return [
+        line for k, line in enumerate(lines)
+        if home in holders[k] and (dense[0] < k < dense[-1] or not linked[k] or holders[k][-1] in held)
+    ]
+
+
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 _HOLDERS = frozenset("body div section article main td center html #page".split())
 
 

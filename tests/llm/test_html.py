@@ -59,6 +59,25 @@ def test_wrappers_that_hold_the_page_come_back(page, text):
     assert html.main_text(page) == text
 
 
+MENU = "<div><ul><li><a href=a>Home</a><li><a href=b>News of the day</a></ul></div>"
+SHORT = "".join(f"<p>s{k}</p>" for k in range(9))
+UNNAMED = [
+    (f"<div class=content><section><p>{LONG * 19}</p></section><section><p>{LONG}</p></section></div>", f"{LONG * 19}\n\n{LONG}"),
+    (f"{MENU}<h1>Title</h1><div class=body><p>{LONG}</p></div>{MENU}", f"Title\n\n{LONG}"),
+    (
+        f"<div><div><p>{LONG}</p><p>{LONG}</p></div><div>{SHORT}</div><div><p>{LONG}</p></div></div>",
+        "\n\n".join([LONG, LONG, *(f"s{k}" for k in range(9)), LONG]),
+    ),
+    (f"{MENU}<div><p>{LONG}</p><p><a href=x>Source</a></p></div>", f"{LONG}\n\nSource"),
+    (f"{MENU}{MENU}", "Home\n\nNews of the day\n\nHome\n\nNews of the day"),
+]
+
+
+@pytest.mark.parametrize("page,text", UNNAMED)
+def test_all_regions_of_an_unnamed_article_are_kept(page, text):
+    assert html.main_text(page) == text
+
+
 def test_table_with_nulls_and_clashing_columns(spark):
     rows = [(1, "u", "<p>a</p>", 1), (None, None, None, 2), (1, "u", "<p>a</p>", 1), (2, "u", "<p>" + "w " * 200_000, 3)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
