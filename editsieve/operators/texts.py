@@ -37,27 +37,32 @@ def gather(tokens: DataFrame, id_col: str, value: str, name: str) -> DataFrame:
     return tokens.groupBy(id_col).agg(F.transform(ordered, lambda item: item[value]).alias(name))
 
 
+def with_row_key(df: DataFrame) -> DataFrame:
+    """``df``, written once, with a key ``_row`` of each row: ids may be null or repeated."""
+    return cut_lineage(df.withColumn("_row", F.monotonically_increasing_id()))
+
+
 def remove_noise(
     df: DataFrame, tokens_col: str, stopwords: DataFrame | None = None, id_col: str = "id"
 ) -> DataFrame:
     """Drop blank tokens and stopwords (column ``word``) from a token list.
 
-    A list of checked length is tested inside the row; a longer one is an anti join on tokens.
+    A list of checked length is tested inside the row; a longer one is an anti join on tokens. Either way each row keeps
+    its own tokens, whatever its ``id_col``, and null words do not count.
     """
     bare = df.withColumn(tokens_col, ft.without_blanks(F.col(tokens_col)))
     if stopwords is None:
         return bare
-    words = [row["word"] for row in stopwords.select("word").limit(INLINE_WORDS + 1).collect()]
+    stopwords = stopwords.select("word").filter(F.col("word").isNotNull())
+    words = [row["word"] for row in stopwords.limit(INLINE_WORDS + 1).collect()]
     if len(words) <= INLINE_WORDS:
         return bare.withColumn(tokens_col, ft.without_words(F.col(tokens_col), words))
     listed = stopwords.select(F.col("word").alias("token")).distinct()
-    kept = lookup_join(positions(bare, id_col, tokens_col), listed, ["token"], "left_anti")
-    gathered = gather(kept, id_col, "token", "_kept")
-    return (
-        bare.join(gathered, id_col, "left")
-        .withColumn(tokens_col, F.coalesce("_kept", F.array().cast("array<string>")))
-        .drop("_kept")
-    )
+    bare = with_row_key(bare)
+    kept = lookup_join(positions(bare, "_row", tokens_col), listed, ["token"], "left_anti")
+    gathered = gather(kept, "_row", "token", "_kept")
+    none = F.when(F.col(tokens_col).isNotNull(), F.array().cast("array<string>"))
+    return bare.join(gathered, "_row", "left").withColumn(tokens_col, F.coalesce("_kept", none)).drop("_kept", "_row")
 
 
 def stem_tokens(
@@ -66,19 +71,19 @@ def stem_tokens(
     """Replace tokens by their stems (columns ``token``, ``stem``); others keep themselves.
 
     Each distinct token is looked up, not each occurrence in Python: a token that occurs in a
-    third of all texts is joined by broadcast.
+    third of all texts is joined by broadcast. Each row keeps its own tokens, whatever its ``id_col``.
     """
     if stems is None:
         return df
-    df = cut_lineage(df)  # the tokens are read for the lookup and again for the join
-    placed = positions(df, id_col, tokens_col)
+    df = with_row_key(df)  # the tokens are read for the lookup and again for the join
+    placed = positions(df, "_row", tokens_col)
     looked_up = lookup_join(placed, stems, ["token"], "left", broadcast_rows=NARROW_ROWS)
-    stemmed = looked_up.select(id_col, "pos", F.coalesce("stem", "token").alias("stem"))
-    gathered = gather(stemmed, id_col, "stem", "_stemmed")
+    stemmed = looked_up.select("_row", "pos", F.coalesce("stem", "token").alias("stem"))
+    gathered = gather(stemmed, "_row", "stem", "_stemmed")
     return (
-        df.join(gathered, id_col, "left")
+        df.join(gathered, "_row", "left")
         .withColumn(tokens_col, F.coalesce("_stemmed", F.col(tokens_col)))
-        .drop("_stemmed")
+        .drop("_stemmed", "_row")
     )
 
 

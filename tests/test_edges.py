@@ -221,3 +221,20 @@ def test_listings(spark):
     assert [(r.id, r.name) for r in src.clean_listings(df).orderBy("id").collect()] == [(0, "a"), (1, "b")]
     assert src.clean_listings(df.filter("id IS NOT NULL"), 2).count() == 1
     assert src.first_rows(df, 0).count() == 6
+
+
+@pytest.mark.parametrize("inline", [1, 20_000])
+def test_tokens_of_null_and_repeated_ids_stay_with_their_rows(spark, monkeypatch, inline):
+    monkeypatch.setattr(tx, "INLINE_WORDS", inline)
+    lists = [(1, ["a", "b"]), (1, ["c", "the", "c"]), (None, ["d", "of"]), (None, ["the"]), (2, None), (2, [])]
+    df = spark.createDataFrame(lists, "id long, t array<string>")
+    stop = spark.createDataFrame([("the",), ("of",), (None,), ("of",)], "word string")
+    got = sorted(((r.id, r.t) for r in tx.remove_noise(df, "t", stop).collect()), key=str)
+    assert got == sorted([(1, ["a", "b"]), (1, ["c", "c"]), (None, ["d"]), (None, []), (2, None), (2, [])], key=str)
+    stems = spark.createDataFrame([("c", "k"), ("d", "e")], "token string, stem string")
+    got = sorted(((r.id, r.t) for r in tx.stem_tokens(df, "t", stems).collect()), key=str)
+    want = [(1, ["a", "b"]), (1, ["k", "the", "k"]), (None, ["e", "of"]), (None, ["the"]), (2, None), (2, [])]
+    assert got == sorted(want, key=str)
+    rows = spark.createDataFrame([(1, "a b"), (1, "c the"), (None, "of d"), (None, "the")], "id long, text string")
+    got = sorted(((r.id, r.tokens) for r in tx.clean_tokens(rows, "text", "tokens", stop, stems).collect()), key=str)
+    assert got == sorted([(1, ["a", "b"]), (1, ["k"]), (None, ["e"])], key=str)
