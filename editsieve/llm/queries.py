@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from editsieve.llm import forest, html, jaccard, packing, pieces, pitmanyor, quality, substrings, topk, toxicity
+from editsieve.llm import forest, html, jaccard, packing, pieces, pitmanyor, quality, spelling, substrings, topk, toxicity
 from editsieve.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -67,3 +67,8 @@ def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pitmanyor.score(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))

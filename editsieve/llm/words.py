@@ -103,8 +103,12 @@ LETTER_BYTES[0x41:0x5B] = LETTER_BYTES[0x61:0x7B] = True
 def split_words(column: pa.Array, word_bytes: np.ndarray = WORD_BYTES) -> Words:
     """Maximal runs of ``word_bytes`` within the rows."""
     data, offsets = bytes_of(column)
+    return runs_inside(data, offsets, word_bytes[data])
+
+
+def runs_inside(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> Words:
+    """Maximal runs of the bytes marked in ``inside`` within the rows."""
     size = len(data)
-    inside = word_bytes[data]
     after = np.empty(size + 1, bool)  # a word cannot go on from the byte before
     after[0] = after[size] = True
     np.logical_not(inside[:-1], out=after[1:size]) if size else None
