@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from editsieve.llm import forest, html, jaccard, packing, pieces, pitmanyor, quality, spelling, substrings, topk, toxicity
+from editsieve.llm import forest, html, jaccard, negatives, packing, pieces, pitmanyor, quality, spelling, substrings, topk, toxicity
 from editsieve.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -72,3 +72,33 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@query(oracle="""
+    WITH held AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vec
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ),
+    scored AS (
+        SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+               CAST(list_inner_product(a.vec, b.vec) AS BIGINT) AS score
+        FROM held a JOIN held b ON a.vec_id <> b.vec_id AND len(a.vec) = len(b.vec)
+        WHERE a.vec_id % 50 = 0
+    ),
+    positive AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+    )
+    SELECT p.anchor_id, p.positive_id, row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS rank,
+           s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+    FROM positive p JOIN scored s ON p.anchor_id = s.anchor_id
+    WHERE NOT s.same AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+    QUALIFY rank <= 3
+""")
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
