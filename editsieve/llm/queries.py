@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from editsieve.llm import forest, html, jaccard, negatives, packing, pieces, pitmanyor, quality, spelling, substrings, topk, toxicity
+from editsieve.llm import forest, html, jaccard, languages, negatives, packing, pieces, pitmanyor, quality, spelling, substrings, topk, toxicity
 from editsieve.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -102,3 +102,8 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+@query()
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages.held_out(table(spark, sf_dir, "documents"))
