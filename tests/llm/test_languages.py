@@ -82,7 +82,7 @@ def test_odd_tables(spark):
     none = spark.createDataFrame([], DOCS)
     assert languages.held_out(none).collect() == []
     rows = [(k, t, ["en", "de", None][k % 3] if k is not None else "en", "s", 1) for k, t in corpus(size=30)]
-    rows += [(None, "some text", "en", "s", 1), (5, None, "en", "s", 1), (6, "1234 -- 99", "en", "s", 1), *rows[:9]]
+    rows += [(None, "some text", "en", "s", 1), (950, None, "en", "s", 1), (951, "1234 -- 99", "en", "s", 1), *rows[:9]]
     docs = spark.createDataFrame(rows, DOCS).repartition(3)
     for name in ("id", "chosen", "bucket", "place", "lang_pred", "score", "bound", "held_out", "of"):
         docs = docs.withColumn(name, F.lit("clash"))
