@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import json
 import math
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.hashing import HASHERS, seeded_position
 from ..session import cut_lineage
+from ..sources import versions
 from .changes import distinct_positive_users
 from .skew import lookup_join
 
@@ -18,11 +19,6 @@ DEFAULT_FPR = 0.1
 # Words up to this many rows (64 Mbit) are broadcast for a per-row test.
 BROADCAST_WORDS = 1_000_000
 
-PARAMS_DDL = (
-    "size bigint, hash_count int, capacity bigint, false_positive_rate double, "
-    "inserted_count bigint, hasher string"
-)
-
 
 @dataclass(frozen=True)
 class BloomParams:
@@ -41,9 +37,6 @@ class BloomParams:
             raise ValueError(f"wrong filter parameters: {self}")
         return self
 
-    def table(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame([tuple(asdict(self).values())], PARAMS_DDL)
-
 
 @dataclass(frozen=True)
 class BloomTables:
@@ -229,35 +222,65 @@ def bloom_reset(spark: SparkSession, params: BloomParams) -> BloomTables:
     return BloomTables(empty, spark.createDataFrame([], "word bigint, bits bigint"))
 
 
-def bloom_save(filter_tables: BloomTables, path: str, version: int) -> None:
-    """Write one version. The parameters go last: a version exists once they are readable."""
-    spark = filter_tables.words.sparkSession
-    filter_tables.params.validate()
-    filter_tables.words.write.mode("overwrite").parquet(f"{path}/words/version={version}")
-    filter_tables.params.table(spark).coalesce(1).write.mode("overwrite").parquet(
-        f"{path}/params/version={version}"
-    )
+def bloom_merge(one: BloomTables, two: BloomTables) -> BloomTables:
+    """The filter of both filters' keys: the words of one shape are joined by ``or``.
+
+    Inserts are added up, so a key in both counts twice towards the capacity.
+    """
+    same = ("size", "hash_count", "capacity", "false_positive_rate", "hasher")
+    a, b = one.params, two.params
+    if any(getattr(a, name) != getattr(b, name) for name in same):
+        raise ValueError(f"filters of different shape: {a}, {b}")
+    words = one.words.unionByName(two.words).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    return BloomTables(replace(a, inserted_count=a.inserted_count + b.inserted_count), cut_lineage(words))
+
+
+def bloom_preset(spark: SparkSession, capacity: int, fpr: float = DEFAULT_FPR, hasher: str = "md5") -> BloomTables:
+    """An empty filter made for ``capacity`` keys, to insert into."""
+    size, hashes = bloom_sizing(F.lit(capacity).cast("bigint"), F.lit(float(fpr)))
+    row = spark.range(1).select(size.alias("size"), hashes.alias("hash_count")).first()
+    params = BloomParams(row["size"], row["hash_count"], capacity, float(fpr), 0, hasher).validate()
+    return bloom_reset(spark, params)
+
+
+def bloom_insert(filter_tables: BloomTables, users: DataFrame) -> BloomTables:
+    """The filter with more keys (``user``). Only keys that it does not seem to hold yet count as inserts."""
+    asked = users.select("user").filter(F.col("user").isNotNull()).distinct()
+    new = cut_lineage(bloom_lookup(asked, filter_tables).filter("prediction = 0").select("user"))
+    added = BloomTables(replace(filter_tables.params, inserted_count=new.count()), bloom_words(new, filter_tables.params))
+    return bloom_merge(filter_tables, added)
+
+
+def bloom_save(
+    filter_tables: BloomTables, path: str, version: int | None = None, owner: str | None = None, batch: int | None = None
+) -> int:
+    """Write a version, the next one by default: its words, then one log file with the parameters.
+
+    Readers see the version before until that file is there. See ``versions.publish``.
+    """
+    about = json.dumps(asdict(filter_tables.params.validate()))
+    return versions.publish(filter_tables.words, path, version, about, owner, batch)
 
 
 def bloom_newest_version(spark: SparkSession, path: str) -> int | None:
     """Number of the newest complete version; None where there is none yet."""
-    try:
-        params = spark.read.schema(f"{PARAMS_DDL}, version bigint").parquet(f"{path}/params")
-    except AnalysisException:
-        return None
-    return params.agg(F.max("version")).first()[0]
+    return versions.newest_version(spark, path)
 
 
 def bloom_load(spark: SparkSession, path: str, version: int | None = None) -> BloomTables:
     """Read a version (the newest by default) and check it before use."""
-    wanted = bloom_newest_version(spark, path) if version is None else version
-    if wanted is None:
+    found = versions.find_version(spark, path, version)
+    if found is None:
         raise ValueError(f"no filter at {path}")
-    rows = spark.read.schema(PARAMS_DDL).parquet(f"{path}/params/version={wanted}").take(2)
-    if len(rows) != 1:
-        raise ValueError(f"wrong filter at {path}: {len(rows)} parameter rows")
-    params = BloomParams(**rows[0].asDict()).validate()
-    words = spark.read.schema("word bigint, bits bigint").parquet(f"{path}/words/version={wanted}")
+    return bloom_of_version(spark, path, found)
+
+
+def bloom_of_version(spark: SparkSession, path: str, version: versions.Version) -> BloomTables:
+    try:
+        params = BloomParams(**json.loads(version.about)).validate()
+    except (TypeError, json.JSONDecodeError) as wrong:
+        raise ValueError(f"wrong filter at {path}: no parameters") from wrong
+    words = versions.rows_of(spark, path, "word bigint, bits bigint", version)
     check = words.agg(
         F.count(F.lit(1)).alias("rows"), F.countDistinct("word").alias("words"),
         F.min("word").alias("low"), F.max("word").alias("high"),

@@ -13,7 +13,7 @@ SLIDE_SECONDS = 300
 PRECISION_BONUS = 0.2
 PRECISION_FLOOR = 0.95
 
-_COUNTS = ("true_positives", "false_positives", "false_negatives", "total_observations")
+COUNTS = ("true_positives", "false_positives", "false_negatives", "total_observations")
 
 
 def confusion_flags(df: DataFrame) -> DataFrame:
@@ -21,8 +21,23 @@ def confusion_flags(df: DataFrame) -> DataFrame:
 
 
 def _count_aggregates() -> list[Column]:
-    flagged = [F.count_if(F.col(flag) == 1) for flag in ("tp", "fp", "fn")]
-    return [column.alias(name) for column, name in zip([*flagged, F.count("*")], _COUNTS, strict=True)]
+    flagged = [F.coalesce(F.sum(flag), F.lit(0)) for flag in ("tp", "fp", "fn")]
+    return [column.cast("bigint").alias(name) for column, name in zip([*flagged, F.count("*")], COUNTS, strict=True)]
+
+
+def pane_confusion(df: DataFrame, slide_seconds: int = SLIDE_SECONDS, time: Column | None = None) -> DataFrame:
+    """Confusion counts per slide (``pane``): what sliding windows are summed from."""
+    stamped = confusion_flags(df).withColumn("event_time", event_time() if time is None else time)
+    return stamped.groupBy(F.window("event_time", f"{slide_seconds} seconds").alias("pane")).agg(*_count_aggregates())
+
+
+def windows_of_panes(
+    panes: DataFrame, window_seconds: int = WINDOW_SECONDS, slide_seconds: int = SLIDE_SECONDS
+) -> DataFrame:
+    """Sliding windows summed from counts per slide (``pane_start``), in batch or on a stream."""
+    window = F.window("pane_start", f"{window_seconds} seconds", f"{slide_seconds} seconds").alias("window")
+    grouped = panes.groupBy(window).agg(*[F.sum(name).alias(name) for name in COUNTS])
+    return grouped.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *COUNTS)
 
 
 def windowed_confusion(
@@ -36,26 +51,23 @@ def windowed_confusion(
     In batch the rows are first summed per slide, then each slide's sums go to the windows that
     cover it, so the rows themselves are never multiplied. A stream uses ``window`` directly.
     """
-    stamped = confusion_flags(df).withColumn("event_time", event_time() if time is None else time)
     if df.isStreaming or window_seconds % slide_seconds:
+        stamped = confusion_flags(df).withColumn("event_time", event_time() if time is None else time)
         grouped = stamped.groupBy(
             F.window("event_time", f"{window_seconds} seconds", f"{slide_seconds} seconds")
         ).agg(*_count_aggregates())
     else:
-        panes = (
-            stamped.groupBy(F.window("event_time", f"{slide_seconds} seconds").alias("pane"))
-            .agg(*_count_aggregates())
-        )
+        panes = pane_confusion(df, slide_seconds, time)
         spread = panes.withColumn("back", F.explode(F.sequence(
             F.lit(0), F.lit(window_seconds - slide_seconds), F.lit(slide_seconds)
         )))
         start = F.timestamp_seconds(F.unix_seconds("pane.start") - F.col("back"))
         end = F.timestamp_seconds(F.unix_seconds("pane.start") - F.col("back") + window_seconds)
         grouped = spread.groupBy(F.struct(start.alias("start"), end.alias("end")).alias("window")).agg(
-            *[F.sum(name).alias(name) for name in _COUNTS]
+            *[F.sum(name).alias(name) for name in COUNTS]
         )
     return grouped.select(
-        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *_COUNTS
+        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *COUNTS
     )
 
 
@@ -72,7 +84,7 @@ def first_flag_by_window(
 def global_confusion(df: DataFrame) -> DataFrame:
     """Confusion counts of all rows, one row (zeros for no rows)."""
     counted = confusion_flags(df).agg(*_count_aggregates())
-    return counted.select(*[F.coalesce(F.col(name), F.lit(0)).alias(name) for name in _COUNTS])
+    return counted.select(*[F.coalesce(F.col(name), F.lit(0)).alias(name) for name in COUNTS])
 
 
 def derive_metrics(counts: DataFrame, empty: float = 1.0) -> DataFrame:
@@ -81,7 +93,7 @@ def derive_metrics(counts: DataFrame, empty: float = 1.0) -> DataFrame:
     ``empty`` stands in for precision and recall of nothing: 1 in live metrics, 0 in model
     selection. Accuracy of no rows is 1.
     """
-    tp, fp, fn, total = (F.col(name) for name in _COUNTS)
+    tp, fp, fn, total = (F.col(name) for name in COUNTS)
     return (
         counts.withColumn("accuracy", guarded_ratio(total - fp - fn, total, 1.0))
         .withColumn("precision", guarded_ratio(tp, tp + fp, empty))

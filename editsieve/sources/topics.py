@@ -8,12 +8,6 @@ from pyspark.sql.streaming import StreamingQuery
 from ..schemas import RECORD_SCHEMA
 from ..session import query_checkpoint
 
-# Topics of the four services.
-RAW_TOPIC = "wikipedia_data"
-RECORDED_TOPIC = "wikipedia_data_csv"
-ACCUSED_TOPIC = "wikipedia_bots"
-CLEAN_TOPIC = "wikipedia_filtered"
-
 
 def read_topic(
     spark: SparkSession, brokers: str, topic: str, starting: str = "latest", **options

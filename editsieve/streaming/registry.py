@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..sources.versions import newest_version, publish, read_version
+from ..sources.versions import is_done, newest_version, publish, read_version
 
 # Fixed value: default time after which an accused account may write again.
 FORGET_SECONDS = 24 * 3600
@@ -37,24 +37,24 @@ def active_accused(accused: DataFrame, forget_seconds: int = FORGET_SECONDS) ->
     return still_active(last_accusations(accused), forget_seconds)
 
 
-def newest_registry(spark: SparkSession, path: str, below: int | None = None) -> DataFrame:
-    """The newest whole registry (older than version ``below`` if given), or an empty one."""
-    return read_version(spark, path, REGISTRY_DDL, newest_version(spark, path, below))
+def newest_registry(spark: SparkSession, path: str) -> DataFrame:
+    """The newest whole registry, or an empty one."""
+    return read_version(spark, path, REGISTRY_DDL, newest_version(spark, path))
 
 
 def merge_accusations(
-    spark: SparkSession, path: str, accused: DataFrame, batch_id: int, forget_seconds: int
+    spark: SparkSession, path: str, accused: DataFrame, batch_id: int, forget_seconds: int, owner: str = "batch"
 ) -> DataFrame:
-    """Merge one batch of accusations into the registry and return the accounts that count.
+    """Merge one batch of accusations into the newest registry and return the accounts that count.
 
-    Version ``batch_id`` is built from the newest version below it, so repeating a batch after a
-    failure writes the same version again.
+    A batch that ``owner`` has committed before changes nothing.
     """
-    known = newest_registry(spark, path, below=batch_id)
-    merged = (
-        known.unionByName(last_accusations(accused).select("user", "last_accused"))
-        .groupBy("user")
-        .agg(F.max("last_accused").alias("last_accused"))
-    )
-    publish(still_active(merged, forget_seconds), path, batch_id)
-    return read_version(spark, path, REGISTRY_DDL, batch_id)
+    if not is_done(spark, path, owner, batch_id):
+        known = newest_registry(spark, path)
+        merged = (
+            known.unionByName(last_accusations(accused).select("user", "last_accused"))
+            .groupBy("user")
+            .agg(F.max("last_accused").alias("last_accused"))
+        )
+        publish(still_active(merged, forget_seconds), path, owner=owner, batch=batch_id)
+    return newest_registry(spark, path)

@@ -9,12 +9,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import bloom, changes as ch
 from ..operators.classifier import TextClassifier
-from ..schemas import simple_struct
 from ..session import query_checkpoint
 from ..sources.recorded import collect_csv
+from ..sources.versions import is_done, lease_newest, retain
 from .registry import FORGET_SECONDS, merge_accusations
+from .ledger import BatchLedger, new_attempt, owner_of
 from .sinks import (
-    METRICS_WATERMARK, BatchFunction, file_batches, foreach_batch_train, metrics_sink, metrics_stream,
+    METRICS_WATERMARK, BatchFunction, FileBatches, foreach_batch_train, metrics_sink, pane_metrics_stream,
 )
 
 # Periods and sampling shares of the services.
@@ -22,9 +23,10 @@ TRAIN_PERIOD_SECONDS = 3600
 RELOAD_SECONDS = 3600
 COLLECT_SHARE = 0.2
 DETECT_SHARE = 0.2
+# A version stays readable for this long after its reader should have looked for a newer one.
+LEASE_SECONDS = 600
 
 SCORED_COLUMNS = ["id", "timestamp", "user", "bot", "prediction"]
-_SCORED_SCHEMA = simple_struct("id long, timestamp long, user string, bot boolean, prediction integer")
 
 
 def enrich_activity_stream(changes: DataFrame, watermark: str = "1 minute") -> DataFrame:
@@ -45,23 +47,46 @@ def enrich_activity_stream(changes: DataFrame, watermark: str = "1 minute") -> D
     return ch.fill_missing(joined, {"edits_per_minute": 0}).select(*changes.columns, "edits_per_minute")
 
 
-def scored_stream(spark: SparkSession, path: str) -> DataFrame:
-    """Scored events written by a service, as a stream."""
-    return spark.readStream.schema(_SCORED_SCHEMA).option("recursiveFileLookup", True).parquet(path)
+def service_ledger(spark: SparkSession, scored_path: str) -> BatchLedger:
+    return BatchLedger(spark, f"{scored_path}/ledger")
+
+
+def scored_rows(spark: SparkSession, scored_path: str) -> DataFrame:
+    """Scored events of the committed batches of a service."""
+    return service_ledger(spark, scored_path).committed(f"{scored_path}/rows")
+
+
+def written_rows(spark: SparkSession, path: str, scored_path: str) -> DataFrame:
+    """What a service wrote to ``path`` with ``file_batches``, of its committed batches."""
+    return service_ledger(spark, scored_path).committed(path)
 
 
 def _two_sinks(
     source: DataFrame, score, split, write: BatchFunction, scored_path: str, checkpoint_root: str,
     name: str, trigger: dict | None,
 ) -> StreamingQuery:
-    """One query that scores each batch once and feeds two outputs from it."""
-    keep_scored = file_batches(scored_path)
+    """One query that scores each batch once and feeds two outputs from it, exactly once.
+
+    Both outputs go to folders of this attempt, then the ledger commits the batch. A batch that
+    fails before that is written anew, one that is repeated after it is skipped. A function other
+    than ``file_batches`` is called again for a batch that failed after the call.
+    """
+    ledger = service_ledger(source.sparkSession, scored_path)
+    keep_scored = FileBatches(f"{scored_path}/rows")
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        owner, attempt = owner_of(batch), new_attempt()
+        if ledger.holds(owner, batch_id):
+            return
         scored = score(batch).persist()
         try:
-            write(split(scored), batch_id)
-            keep_scored(scored.select(*SCORED_COLUMNS), batch_id)
+            if isinstance(write, FileBatches):
+                write.attempt(split(scored), attempt)
+            else:
+                write(split(scored), batch_id)
+            kept = scored.select(*SCORED_COLUMNS)
+            keep_scored.attempt(kept, attempt)
+            ledger.commit(kept, owner, batch_id, attempt)
         finally:
             scored.unpersist()
 
@@ -75,8 +100,8 @@ def service_metrics(
     spark: SparkSession, scored_path: str, checkpoint_root: str, name: str, sink="console",
     watermark: str = METRICS_WATERMARK, trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Live metrics of a service from its scored events; the state survives a filter reload."""
-    metrics = metrics_stream(scored_stream(spark, scored_path), watermark)
+    """Live metrics of a service from its ledger; the state survives a filter reload."""
+    metrics = pane_metrics_stream(service_ledger(spark, scored_path).panes(), watermark)
     return metrics_sink(metrics, checkpoint_root, name, sink, trigger)
 
 
@@ -90,7 +115,7 @@ def collect_stream(
 
 
 class FilterReader:
-    """The newest filter version, looked for again after ``reload_seconds``."""
+    """The newest filter version, looked for again after ``reload_seconds`` and leased until then and once more."""
 
     def __init__(self, spark: SparkSession, path: str, reload_seconds: float = RELOAD_SECONDS):
         self.spark, self.path, self.reload_seconds = spark, path, reload_seconds
@@ -98,9 +123,9 @@ class FilterReader:
 
     def current(self) -> bloom.BloomTables:
         if time.monotonic() - self.checked >= self.reload_seconds:
-            newest = bloom.bloom_newest_version(self.spark, self.path)
-            if newest != self.version:
-                self.tables, self.version = bloom.bloom_load(self.spark, self.path, newest), newest
+            newest = lease_newest(self.spark, self.path, 2 * self.reload_seconds + LEASE_SECONDS)
+            if newest is not None and (self.version is None or newest.attempt != self.version.attempt):
+                self.tables, self.version = bloom.bloom_of_version(self.spark, self.path, newest), newest
             self.checked = time.monotonic()
         if self.tables is None:
             raise ValueError(f"no filter at {self.path}")
@@ -134,20 +159,27 @@ def filter_stream(
 def train_filter_stream(
     accused: DataFrame, registry_path: str, filter_path: str, checkpoint_root: str,
     forget_seconds: int = FORGET_SECONDS, period_seconds: int = TRAIN_PERIOD_SECONDS,
-    fpr: float = bloom.DEFAULT_FPR, hasher: str = "md5", trigger: dict | None = None,
+    fpr: float = bloom.DEFAULT_FPR, hasher: str = "md5", trigger: dict | None = None, keep_versions: int = 24,
 ) -> StreamingQuery:
     """Retrain the filter from all accounts accused within ``forget_seconds``.
 
     Each batch merges its accusations into the registry and publishes a filter of the accounts
-    that still count, both under the batch's number.
+    that still count. Both name the batch that they come from: one that is repeated after a
+    failure goes on where it failed, and a new checkpoint, which numbers its batches anew, goes on
+    from the newest versions. Older versions than ``keep_versions`` are emptied unless leased.
     """
     spark = accused.sparkSession
 
     def train(batch: DataFrame, batch_id: int) -> None:
+        owner = owner_of(batch)
+        if is_done(spark, filter_path, owner, batch_id):
+            return
         named = ch.confirmed_bots(batch).select("user", "timestamp")
-        active = merge_accusations(spark, registry_path, named, batch_id, forget_seconds)
+        active = merge_accusations(spark, registry_path, named, batch_id, forget_seconds, owner)
         labelled = active.select("user", F.lit(1).alias("label"))
-        bloom.bloom_save(bloom.bloom_build(labelled, fpr, hasher), filter_path, batch_id)
+        bloom.bloom_save(bloom.bloom_build(labelled, fpr, hasher), filter_path, owner=owner, batch=batch_id)
+        for path in (registry_path, filter_path):
+            retain(spark, path, keep_versions)
 
     return foreach_batch_train(
         accused, train, checkpoint_root, "filter-training", period_seconds, trigger

@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.changes import with_event_time
-from ..operators.evaluation import derive_metrics, windowed_confusion
+from ..operators.evaluation import derive_metrics, windowed_confusion, windows_of_panes
 from ..schemas import METRIC_COLUMNS
 from ..session import query_checkpoint
-from ..sources.versions import newest_version, publish, read_version
+from ..sources.versions import is_done, newest_version, publish, read_version
+from .ledger import attempt_path, owner_of
 
 BatchFunction = Callable[[DataFrame, int], None]
 # How late an event may be to count in its window; state older than that is dropped.
@@ -30,6 +31,12 @@ def metrics_stream(scored: DataFrame, watermark: str = METRICS_WATERMARK) -> Dat
     return derive_metrics(counts, empty=1.0).select(*METRIC_COLUMNS)
 
 
+def pane_metrics_stream(panes: DataFrame, watermark: str = METRICS_WATERMARK) -> DataFrame:
+    """The same from a stream of counts per slide; lateness is that of the start of a slide."""
+    counts = windows_of_panes(panes.withWatermark("pane_start", watermark))
+    return derive_metrics(counts, empty=1.0).select(*METRIC_COLUMNS)
+
+
 def metrics_sink(
     metrics: DataFrame, checkpoint_root: str, name: str, sink: str | BatchFunction = "console",
     trigger: dict | None = None,
@@ -49,15 +56,20 @@ def metrics_sink(
 
 
 def upsert_metrics(path: str) -> BatchFunction:
-    """A function per batch that keeps the latest row of every window below ``path``."""
+    """A function per batch that keeps the latest row of every window below ``path``.
+
+    A batch that is repeated after its version was committed changes nothing.
+    """
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        known = read_version(spark, path, METRICS_DDL, newest_version(spark, path, below=batch_id))
+        spark, owner = batch.sparkSession, owner_of(batch)
+        if is_done(spark, path, owner, batch_id):
+            return
+        known = latest_metrics(spark, path)
         both = known.withColumn("_new", F.lit(0)).unionByName(batch.withColumn("_new", F.lit(1)))
         latest = Window.partitionBy("window_start").orderBy(F.desc("_new"))
         kept = both.withColumn("_n", F.row_number().over(latest)).filter("_n = 1")
-        publish(kept.select(*METRIC_COLUMNS), path, batch_id)
+        publish(kept.select(*METRIC_COLUMNS), path, owner=owner, batch=batch_id)
 
     return upsert
 
@@ -95,10 +107,20 @@ def topic_batches(brokers: str, topic: str) -> BatchFunction:
     return write
 
 
-def file_batches(path: str) -> BatchFunction:
-    """Write each batch as Parquet; a repeated batch replaces what it wrote before."""
+class FileBatches:
+    """Writes each batch as Parquet, into a folder of the batch or, for a service, of the attempt."""
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+    def __init__(self, path: str):
+        self.path = path
 
-    return write
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        """A repeated batch replaces what it wrote before."""
+        batch.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+
+    def attempt(self, batch: DataFrame, attempt: str) -> None:
+        """Counts once the service's ledger names the attempt."""
+        batch.write.parquet(attempt_path(self.path, attempt))
+
+
+def file_batches(path: str) -> FileBatches:
+    return FileBatches(path)
