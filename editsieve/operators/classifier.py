@@ -122,6 +122,22 @@ class TextClassifier:
         return predict(self.model, embedded, name).drop("embedding")
 
 
+@dataclass(frozen=True)
+class LinearTextClassifier:
+    """A logistic model given by its numbers, with the word vectors it needs."""
+
+    coefficients: tuple[float, ...]
+    intercept: float
+    vectors: DataFrame
+    threshold: float = 0.5
+
+    def predict_texts(self, df: DataFrame, text_col: str = "text", name: str = "prediction") -> DataFrame:
+        """0/1 prediction per row; a row without an embedding is predicted 0."""
+        embedded = embed_repeated_texts(df, text_col, self.vectors)
+        _, prediction = linear_prediction(F.col("embedding"), list(self.coefficients), self.intercept, self.threshold)
+        return embedded.withColumn(name, F.coalesce(prediction, F.lit(0))).drop("embedding")
+
+
 def fit_embedded(embedded: DataFrame, params: ClassifierParams) -> LogisticRegressionModel:
     """Fit on rows with ``embedding`` and ``label``; rows without an embedding are left out."""
     usable = embedded.filter(F.col("embedding").isNotNull())

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import bloom, changes as ch, evaluation as ev
 from ..streaming.registry import active_accused
-from .events import _FLAGS_SQL, metrics_sql, windows_as_seconds, windows_sql
+from .events import _FLAGS_SQL, metrics_sql, scratch, windows_as_seconds, windows_sql
 from .registry import query
 from .views import SPLIT_SECONDS, changes, md5_sql, with_changes
 
@@ -156,11 +156,52 @@ def bloom_measured_fpr(spark, sf_dir):
 @query("B6", with_changes(f"""{_FILTER_SQL}
 SELECT size, CAST(k AS INTEGER) AS hash_count, n AS capacity, n AS inserted_count,
   (SELECT count(*) FROM bits) AS set_bits, (SELECT count(*) FROM bits) / size::DOUBLE AS fill_ratio,
-  true AS at_capacity FROM par"""))
+  (SELECT count(*) FROM train) >= n AS at_capacity FROM par"""))
 def bloom_health(spark, sf_dir):
     return bloom.bloom_health(trained(spark, sf_dir))
 
 
+@query("B4", with_changes(f"{_FILTER_SQL} SELECT bit, 1::BIGINT AS version FROM bits"))
+def bloom_round_trip(spark, sf_dir):
+    """Bits of a filter that was saved over an older version and read back."""
+    path = scratch(spark, "filter")
+    tables = trained(spark, sf_dir)
+    bloom.bloom_save(bloom.bloom_reset(spark, tables.params), path)
+    bloom.bloom_save(tables, path)
+    version = bloom.bloom_newest_version(spark, path)
+    loaded = bloom.bloom_load(spark, path, version)
+    return bloom.bloom_bits(loaded.words).withColumn("version", F.lit(version).cast("bigint"))
+
+
+_PRESET = 5000
+
+
+@query("B1 B2", with_changes(f""",
+par AS (SELECT {sizing_sql(str(_PRESET))}), shape AS (
+  SELECT size, greatest(1, CAST(floor(size / {_PRESET}::DOUBLE * ln(2)) AS BIGINT)) AS k FROM par),
+seeds AS (SELECT unnest(range(0, k)) AS seed, size FROM shape)
+SELECT DISTINCT {md5_sql("CAST(seed AS VARCHAR) || ':' || \"user\"", 15)} % size AS bit
+FROM (SELECT DISTINCT "user" FROM ch WHERE bot), seeds"""))
+def bloom_merge(spark, sf_dir):
+    """Two filters of one preset capacity, filled from the two halves of the events and joined."""
+    empty = bloom.bloom_preset(spark, _PRESET)
+    halves = [
+        bloom.bloom_insert(empty, changes(spark, sf_dir, part).filter("bot")) for part in ("train", "validation")
+    ]
+    return bloom.bloom_bits(bloom.bloom_merge(*halves).words)
+
+
+@query("B2 B6", with_changes(""",
+inserted AS (SELECT count(DISTINCT "user") AS n FROM ch WHERE bot)
+SELECT capacity, n AS inserted_count, n >= capacity AS at_capacity
+FROM inserted, (VALUES (1::BIGINT), (1000000::BIGINT)) AS presets(capacity)"""))
+def bloom_capacity(spark, sf_dir):
+    """Filters of a small and a large preset capacity with the same keys in them."""
+    bots = changes(spark, sf_dir).filter("bot")
+    health = [bloom.bloom_health(bloom.bloom_insert(bloom.bloom_preset(spark, n), bots)) for n in (1, 1_000_000)]
+    return health[0].unionByName(health[1]).select("capacity", "inserted_count", "at_capacity")
+
+
 @query("T4 D3", with_changes(""", seen AS (
   SELECT "user", max("timestamp") AS last_accused FROM ch WHERE bot GROUP BY 1)
 SELECT "user", last_accused FROM seen
