@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import HashingTF, IDF, Word2Vec, Word2VecModel
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import text as ft
+from ..functions.hashing import md5_number
 from ..session import cut_lineage
 from .skew import NARROW_ROWS, lookup_join
 
 # Fixed value: width of the feature vectors.
 VECTOR_SIZE = 64
-METHODS = ("word2vec", "tfidf")
+METHODS = ("word2vec", "tfidf", "tfidf_md5")
 
 # Lists up to this length become a hash set inside the expression.
 INLINE_WORDS = 20_000
@@ -109,6 +112,30 @@ def tfidf_features(
     return model.transform(counted).drop("_counts")
 
 
+def tfidf_md5_features(
+    df: DataFrame, tokens_col: str = "tokens", name: str = "features", size: int = VECTOR_SIZE
+) -> DataFrame:
+    """The same with md5 as the hash of a token, which any engine can repeat: an array of ``size``.
+
+    A token counts at the number of the first eight hexadecimal digits of its md5 modulo ``size``;
+    the weight of a place is its count times ln((n + 1) / (m + 1)) for n texts, m of which have
+    the place. Tokens are counted per text before the shuffle, the ``size`` weights are broadcast.
+    """
+    df = with_row_key(df)
+    place = F.pmod(md5_number(F.col("token")), F.lit(size)).cast("int")
+    counts = token_rows(df, tokens_col, "token", "_row").groupBy("_row", place.alias("place")).agg(F.count("*").alias("tf"))
+    counts = cut_lineage(counts)
+    total = df.count()
+    seen = {r["place"]: r["m"] for r in counts.groupBy("place").agg(F.count("*").alias("m")).collect()}  # ``size`` rows
+    weights = F.array(*[F.lit(math.log((total + 1) / (seen.get(k, 0) + 1))) for k in range(size)])
+    held = counts.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("place", "tf"))).alias("_held"))
+    value = F.transform(
+        F.sequence(F.lit(0), F.lit(size - 1)),
+        lambda k: F.coalesce(F.try_element_at("_held", k), F.lit(0)) * F.element_at(weights, k + 1),
+    )
+    return df.join(held, "_row", "left").withColumn(name, value).drop("_row", "_held")
+
+
 def tfidf_terms(df: DataFrame, id_col: str, tokens_col: str = "tokens") -> DataFrame:
     """The unhashed twin: ``id_col``, ``term``, ``tf``, ``df``, ``tfidf`` of every term of a text.
 
@@ -155,5 +182,7 @@ def add_features(
     tokens = clean_tokens(df, text_col, "tokens", stopwords, stems, id_col)
     if method == "tfidf":
         return tfidf_features(tokens, "tokens", name, size)
+    if method == "tfidf_md5":
+        return tfidf_md5_features(tokens, "tokens", name, size)
     tokens = cut_lineage(tokens)  # read by the fit, and again by each use of the vectors
     return fit_word2vec(tokens, "tokens", name, size, min_count, seed, partitions).transform(tokens)

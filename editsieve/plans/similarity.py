@@ -137,10 +137,11 @@ GRID = [
 ]
 
 _JT = "t::VARCHAR || ':' || j::VARCHAR"
-_HASHED_SQL = f"""WITH {_VECTORS},
-directions AS (
+DIRECTIONS_SQL = f"""directions AS (
   SELECT t, list(2 * ({md5_sql(_JT)} + 0.5) / 4294967296.0 - 1 ORDER BY j)::DOUBLE[] AS r
-  FROM range(5) AS ts(t), range(64) AS js(j) GROUP BY t),
+  FROM range(5) AS ts(t), range(64) AS js(j) GROUP BY t)"""
+_HASHED_SQL = f"""WITH {_VECTORS},
+{DIRECTIONS_SQL},
 lengths AS (SELECT unnest([0.5, 1.0, 3.0])::DOUBLE AS bucket_length),
 hashed AS (SELECT id, vec, t, bucket_length,
              floor(list_dot_product(vec, r) / bucket_length)::BIGINT AS bucket

@@ -14,6 +14,7 @@ from ..session import cut_lineage
 from ..sources import texts as src
 from .events import scratch
 from .registry import query
+from .similarity import DIRECTIONS, DIRECTIONS_SQL
 from .views import md5_sql, spread, table
 
 
@@ -122,9 +123,12 @@ def split_tokens(spark, sf_dir):
     return rows.withColumn("tokens", ft.tokenize(ft.strip_symbols(F.col("text"))))
 
 
-def stems(spark, sf_dir):
-    """Stem of each distinct token, by a rule on its ending."""
-    words = tx.token_rows(split_tokens(spark, sf_dir), "tokens").distinct()
+def stems(spark, sf_dir, more=None):
+    """Stem of each distinct token of the documents, and of ``more`` texts, by a rule on its ending."""
+    words = tx.token_rows(split_tokens(spark, sf_dir), "tokens")
+    if more is not None:
+        words = words.unionByName(tx.token_rows(more.select(ft.tokenize(ft.strip_symbols(F.col("text"))).alias("tokens")), "tokens"))
+    words = words.distinct()
     stem = F.when(
         F.length("token") > 4, F.regexp_replace("token", "(ing|ed|es|s)$", "")
     ).otherwise(F.col("token"))
@@ -311,31 +315,162 @@ def search_classifier(spark, sf_dir):
     return scores
 
 
-def _similarity(rows, text_col, id_col, grid, method):
-    featured = tx.add_features(rows, text_col, method=method, id_col=id_col)
+def _vectors_sql(name: str, source: str, stemmed: str, rounded: bool = True) -> str:
+    """Hashed TF-IDF vectors of a table ``source`` (id, text), cleaned as ``clean_tokens`` does."""
+    weight = "coalesce(tf, 0) * ln((n + 1.0) / (coalesce(m, 0) + 1))"
+    weight = f"round({weight} * 1024) / 1024" if rounded else weight
+    return f"""
+{name}_places AS (SELECT id, unnest({_SPLIT}) AS token FROM {source}),
+{name}_kept AS (SELECT id, {stemmed} AS token FROM {name}_places
+  WHERE trim(token) <> '' AND token NOT IN (SELECT word FROM frequent)),
+{name}_counts AS (SELECT id, {md5_sql('token')} % 64 AS place, count(*) AS tf FROM {name}_kept GROUP BY 1, 2),
+{name}_seen AS (SELECT place, count(*) AS m FROM {name}_counts GROUP BY 1),
+{name} AS (SELECT id, list({weight} ORDER BY place)::DOUBLE[] AS vec
+  FROM (SELECT DISTINCT id FROM {name}_kept) CROSS JOIN range(64) AS places(place)
+  CROSS JOIN (SELECT count(DISTINCT id) AS n FROM {name}_kept)
+  LEFT JOIN {name}_counts USING (id, place) LEFT JOIN {name}_seen USING (place) GROUP BY id)"""
+
+
+_STEM_SQL = "CASE WHEN length(token) > 4 THEN regexp_replace(token, '(ing|ed|es|s)$', '') ELSE token END"
+
+
+@query("M1 M2 X3 X4", f"""WITH {_LIST_SQL}, docs AS (SELECT doc_id AS id, text FROM documents),
+{_vectors_sql('v', 'docs', _STEM_SQL, rounded=False)}
+SELECT id, round(unnest(vec), 9) AS weight, generate_subscripts(vec, 1) - 1 AS place FROM v""")
+def tfidf_md5_vectors(spark, sf_dir):
+    """Whole vectors of all documents, stopwords left out and tokens stemmed."""
+    rows = tx.add_features(
+        documents(spark, sf_dir), "text", method="tfidf_md5", stopwords=stopwords(spark, sf_dir), stems=stems(spark, sf_dir)
+    )
+    placed = rows.select("id", F.posexplode("features").alias("place", "weight"))
+    return placed.select("id", F.col("place").cast("bigint").alias("place"), F.round("weight", 9).alias("weight"))
+
+
+def _lists(spark, sf_dir):
+    more = table(spark, sf_dir, "conversations").select("text")
+    return {"stopwords": stopwords(spark, sf_dir), "stems": cut_lineage(stems(spark, sf_dir, more))}
+
+
+def _featured(rows, text_col, id_col, method, lists):
+    """Rows with their vectors; those that SQL repeats are rounded to 1/1024, so that equal distances are equal there too."""
+    rows = tx.add_features(rows, text_col, method=method, id_col=id_col, **lists)
+    if method == "tfidf_md5":
+        rows = rows.withColumn("features", F.transform("features", lambda x: F.round(x * 1024) / 1024))
+    return cut_lineage(rows)
+
+
+def _similarity(rows, text_col, id_col, grid, method, projections=None, **lists):
+    """Clean, vectorise, find the exact neighbours, and score every parameter set of the approximate search."""
+    featured = _featured(rows, text_col, id_col, method, lists)
     truth = lsh.with_truth(featured, id_col, nb.exact_neighbours(featured, id_col))
-    return featured, truth, lsh.search_lsh(featured, id_col, "features", truth, grid)
+    return featured, truth, lsh.search_lsh(featured, id_col, "features", truth, grid, projections=projections)
+
+
+def _listings(spark, sf_dir):
+    return src.clean_listings(documents(spark, sf_dir).withColumnRenamed("text", "name"))
+
+
+def _articles(spark, sf_dir):
+    return src.articles_from_json(article_responses(spark, sf_dir))
 
 
 @query("M12 P9 M1 M7 M10 O6")
 def listing_similarity(spark, sf_dir):
-    listings = src.clean_listings(documents(spark, sf_dir).withColumnRenamed("text", "name"))
-    _, _, results = _similarity(listings, "name", "id", lsh.default_grid(), "tfidf")
+    _, _, results = _similarity(_listings(spark, sf_dir), "name", "id", lsh.default_grid(), "tfidf", **_lists(spark, sf_dir))
     return lsh.best_then_fastest(results)
 
 
 @query("M13 S12 M1 M7 M10 O6")
 def article_similarity(spark, sf_dir):
-    articles = src.articles_from_json(article_responses(spark, sf_dir))
-    _, _, results = _similarity(articles, "article", "rank", lsh.default_grid(), "word2vec")
+    _, _, results = _similarity(_articles(spark, sf_dir), "article", "rank", lsh.default_grid(), "word2vec", **_lists(spark, sf_dir))
     return lsh.best_then_fastest(results)
 
 
 @query("M11")
 def transfer_params(spark, sf_dir):
-    listings = src.clean_listings(documents(spark, sf_dir).withColumnRenamed("text", "name"))
-    _, _, results = _similarity(listings, "name", "id", lsh.default_grid(), "tfidf")
-    articles = src.articles_from_json(article_responses(spark, sf_dir))
-    other = tx.add_features(articles, "article", method="tfidf", id_col="rank")
+    lists = _lists(spark, sf_dir)
+    _, _, results = _similarity(_listings(spark, sf_dir), "name", "id", lsh.default_grid(), "tfidf", **lists)
+    other = _featured(_articles(spark, sf_dir), "article", "rank", "tfidf", lists)
     truth = lsh.with_truth(other, "rank", nb.exact_neighbours(other, "rank"))
     return lsh.transfer_params(other, "rank", "features", truth, results)
+
+
+# The same three over vectors and directions that SQL can compute. Distances are larger than in the default grid.
+_GRID = [
+    lsh.LshParams(tables, threshold, length) for tables in (1, 3) for threshold in (4.0, 8.0) for length in (1.0, 4.0)
+]
+_TRUTH = """(SELECT id, list(neighbour_id) AS found FROM (
+  SELECT a.id, b.id AS neighbour_id, row_number() OVER (
+    PARTITION BY a.id ORDER BY list_distance(a.vec, b.vec), b.id) AS rank FROM {v} a JOIN {v} b ON a.id <> b.id)
+  WHERE rank <= 5 GROUP BY id)"""
+
+
+def _scores_sql(name: str) -> str:
+    """IOU of every set of ``_GRID`` over the vectors ``name``, as table ``<name>_scores``."""
+    sets = ", ".join(f"({p.num_hash_tables}, {p.distance_threshold}::DOUBLE, {p.bucket_length}::DOUBLE)" for p in _GRID)
+    return f"""
+{name}_sets AS (SELECT * FROM (VALUES {sets}) AS s(num_hash_tables, distance_threshold, bucket_length)),
+{name}_hashed AS (SELECT id, t, bucket_length, floor(list_dot_product(vec, r) / bucket_length)::BIGINT AS bucket
+  FROM {name}, directions, (SELECT DISTINCT bucket_length FROM {name}_sets)),
+{name}_met AS (SELECT bucket_length, a.id, b.id AS neighbour_id, min(t) AS first_table
+  FROM {name}_hashed a JOIN {name}_hashed b USING (bucket_length, t, bucket) WHERE a.id <> b.id GROUP BY ALL),
+{name}_near AS (SELECT m.*, list_distance(a.vec, b.vec) AS distance FROM {name}_met m
+  JOIN {name} a ON a.id = m.id JOIN {name} b ON b.id = m.neighbour_id),
+{name}_ranked AS (SELECT num_hash_tables, distance_threshold, bucket_length, id, neighbour_id, row_number() OVER (
+    PARTITION BY num_hash_tables, distance_threshold, bucket_length, id ORDER BY distance, neighbour_id) AS rank
+  FROM {name}_sets JOIN {name}_near USING (bucket_length)
+  WHERE first_table < num_hash_tables AND distance < distance_threshold),
+{name}_found AS (SELECT num_hash_tables, distance_threshold, bucket_length, id, list(neighbour_id) AS found
+  FROM {name}_ranked WHERE rank <= 5 GROUP BY ALL),
+{name}_truth AS {_TRUTH.format(v=name)},
+{name}_scores AS (SELECT num_hash_tables, distance_threshold, bucket_length, round(avg(
+    CASE WHEN p.found IS NULL THEN 0.0 ELSE len(list_intersect(truth.found, p.found))
+      / len(list_distinct(list_concat(truth.found, p.found)))::DOUBLE END), 9) AS iou
+  FROM {name}_sets CROSS JOIN {name}_truth AS truth
+  LEFT JOIN {name}_found p USING (num_hash_tables, distance_threshold, bucket_length, id) GROUP BY ALL)"""
+
+
+_LISTINGS_SQL = """listings AS (SELECT row_number() OVER (ORDER BY first_id) - 1 AS id, text FROM (
+  SELECT text, min(doc_id) AS first_id FROM documents WHERE text IS NOT NULL GROUP BY text))"""
+_ARTICLES_SQL = "articles AS (SELECT conv_id * 1000 + turn AS id, text FROM conversations)"
+
+
+def _checked(rows, text_col, id_col, lists):
+    featured, truth, results = _similarity(rows, text_col, id_col, _GRID, "tfidf_md5", DIRECTIONS, **lists)
+    return featured, truth, results.withColumn("iou", F.round("iou", 9))
+
+
+@query("M12 M10", f"""WITH {_LIST_SQL}, {DIRECTIONS_SQL}, {_LISTINGS_SQL}, {_vectors_sql('v', 'listings', _STEM_SQL)},
+{_scores_sql('v')} SELECT * FROM v_scores""")
+def listing_similarity_scores(spark, sf_dir):
+    """The whole grid over the listings, with stopwords and stems."""
+    _, _, results = _checked(_listings(spark, sf_dir), "name", "id", _lists(spark, sf_dir))
+    return results.drop("computation_time")
+
+
+@query("M13 M10", f"""WITH {_LIST_SQL}, {DIRECTIONS_SQL}, {_ARTICLES_SQL}, {_vectors_sql('v', 'articles', _STEM_SQL)},
+{_scores_sql('v')} SELECT * FROM v_scores""")
+def article_similarity_scores(spark, sf_dir):
+    """The same over the articles."""
+    _, _, results = _checked(_articles(spark, sf_dir), "article", "rank", _lists(spark, sf_dir))
+    return results.drop("computation_time")
+
+
+@query("M11 O5", f"""WITH {_LIST_SQL}, {DIRECTIONS_SQL}, {_LISTINGS_SQL}, {_ARTICLES_SQL},
+small AS (SELECT * FROM articles ORDER BY id LIMIT (SELECT (count(*) + 4) // 5 FROM articles)),
+{_vectors_sql('v', 'small', _STEM_SQL)}, {_scores_sql('v')},
+{_vectors_sql('w', 'listings', _STEM_SQL)}, {_scores_sql('w')},
+best AS (SELECT num_hash_tables, distance_threshold, bucket_length FROM v_scores
+  ORDER BY iou DESC, num_hash_tables, distance_threshold, bucket_length LIMIT 1)
+SELECT w_scores.* FROM w_scores JOIN best USING (num_hash_tables, distance_threshold, bucket_length)""")
+def transfer_params_scores(spark, sf_dir):
+    """The best set of the first fifth of the articles, scored on the whole, larger second dataset."""
+    lists = _lists(spark, sf_dir)
+    articles = _articles(spark, sf_dir)
+    fifth = articles.orderBy("rank").limit(-(-articles.count() // 5))
+    _, _, results = _checked(fifth, "article", "rank", lists)
+    best = lsh.best_params(results, top=1).withColumn("computation_time", F.lit(0.0))
+    other = _featured(_listings(spark, sf_dir), "name", "id", "tfidf_md5", lists)
+    truth = lsh.with_truth(other, "id", nb.exact_neighbours(other, "id"))
+    scored = lsh.transfer_params(other, "id", "features", truth, best, projections=DIRECTIONS)
+    return scored.drop("computation_time").withColumn("iou", F.round("iou", 9))
