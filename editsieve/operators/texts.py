@@ -19,6 +19,7 @@ METHODS = ("word2vec", "tfidf", "tfidf_md5")
 # Lists up to this length become a hash set inside the expression.
 INLINE_WORDS = 20_000
 SEED = 7
+TEXTS_PER_PART = 250  # texts that a part of a fit of word vectors has at least
 
 
 def positions(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
@@ -159,12 +160,16 @@ def tfidf_terms(df: DataFrame, id_col: str, tokens_col: str = "tokens") -> DataF
 
 def fit_word2vec(
     df: DataFrame, tokens_col: str = "tokens", name: str = "features", size: int = VECTOR_SIZE,
-    min_count: int = 0, seed: int = SEED, partitions: int = 1,
+    min_count: int = 0, seed: int = SEED, partitions: int | None = None,
 ) -> Word2VecModel:
-    """Word vectors; more partitions train faster, with one a seed gives the same vectors again.
+    """Word vectors, fitted in parts that are averaged: as many as there are cores, but each of enough texts.
 
-    MLlib holds the vocabulary on the driver: raise ``min_count`` for a very large corpus.
+    With ``partitions=1`` a seed gives the same vectors whatever the rows' partitions. MLlib holds
+    the vocabulary on the driver: raise ``min_count`` for a very large corpus.
     """
+    if partitions is None:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        partitions = max(1, min(cores, df.count() // TEXTS_PER_PART))
     return Word2Vec(
         inputCol=tokens_col, outputCol=name, vectorSize=size, minCount=min_count, seed=seed,
         numPartitions=partitions,
@@ -174,7 +179,7 @@ def fit_word2vec(
 def add_features(
     df: DataFrame, text_col: str, name: str = "features", method: str = "word2vec",
     stopwords: DataFrame | None = None, stems: DataFrame | None = None, id_col: str = "id",
-    size: int = VECTOR_SIZE, seed: int = SEED, min_count: int = 0, partitions: int = 1,
+    size: int = VECTOR_SIZE, seed: int = SEED, min_count: int = 0, partitions: int | None = None,
 ) -> DataFrame:
     """Texts with a feature vector; texts without a token are dropped."""
     if method not in METHODS:

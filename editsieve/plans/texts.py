@@ -176,6 +176,17 @@ def word2vec_features(spark, sf_dir):
     return rows.select("id", F.size(nb.vector_to_array("features")).alias("width"))
 
 
+@query("M3 X9 X11", f"{_KEPT_SQL} SELECT DISTINCT id, 64::BIGINT AS width, true AS is_mean FROM kept")
+def word2vec_means(spark, sf_dir):
+    """A text's vector is the mean of the vectors of its words, by MLlib's model and by the engine's own pooling."""
+    tokens = cut_lineage(tx.clean_tokens(documents(spark, sf_dir), "text", "tokens", stopwords(spark, sf_dir)))
+    model = tx.fit_word2vec(tokens)
+    own = cl.embed_tokens(tokens, "id", "tokens", cl.word_vectors(model))
+    both = model.transform(tokens).select("id", nb.vector_to_array("features").alias("features")).join(own, "id")
+    apart = F.aggregate(F.zip_with("features", "embedding", lambda a, b: F.abs(a - b)), F.lit(0.0), lambda x, y: F.greatest(x, y))
+    return both.select("id", F.size("features").cast("bigint").alias("width"), (apart < 1e-5).alias("is_mean"))
+
+
 @query("P9 P10 O2", """
 WITH kept AS (SELECT text AS name, min(doc_id) AS first_id FROM documents GROUP BY text)
 SELECT row_number() OVER (ORDER BY first_id) - 1 AS id, md5(name) AS name FROM kept""")
@@ -286,6 +297,29 @@ def linear_prediction(spark, sf_dir):
     )
 
 
+@query("M4 A7", """
+SELECT place, true AS is_zero FROM range(65) AS places(place)""")
+def classifier_gradient(spark, sf_dir):
+    """Slope of the weighted, regularised loss at the fitted model, for each coefficient and, last, the intercept."""
+    rows = table(spark, sf_dir, "embeddings").select("embedding", (F.col("label") < 3).cast("int").alias("label"))
+    params = cl.ClassifierParams(max_iter=200, weight_type="balanced")
+    model = cl.fit_embedded(rows, params)
+    weighted = ev.class_weights(rows, "balanced")
+    probability, _ = cl.linear_prediction(F.col("embedding"), list(model.coefficients), model.intercept)
+    miss = F.col("weight") * (probability - F.col("label"))
+    count = len(model.coefficients)
+    x = [F.col("embedding")[k].cast("double") for k in range(count)]
+    sums = weighted.agg(
+        F.sum("weight").alias("total"), F.sum(miss).alias("miss"), *[F.sum(miss * v).alias(f"g{k}") for k, v in enumerate(x)],
+        # MLlib penalises coefficients of features of unit spread, which it takes from weighted rows
+        *[((F.sum(F.col("weight") * v * v) - F.sum(F.col("weight") * v) ** 2 / F.sum("weight")) / (
+            F.sum("weight") - F.sum(F.col("weight") ** 2) / F.sum("weight"))).alias(f"s{k}") for k, v in enumerate(x)],
+    )
+    slopes = [F.col(f"g{k}") / F.col("total") + params.reg_param * F.col(f"s{k}") * float(c) for k, c in enumerate(model.coefficients)]
+    held = sums.select(F.posexplode(F.array(*slopes, F.col("miss") / F.col("total"))).alias("place", "slope"))
+    return held.select(F.col("place").cast("bigint").alias("place"), (F.abs("slope") < 1e-4).alias("is_zero"))
+
+
 def labelled_texts(spark, sf_dir):
     """Documents of low quality stand in for bot edits."""
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), "quality")
