@@ -25,8 +25,8 @@ NEIGHBOURS = 5
 
 BLOCK_ROWS = 4096
 MIN_SLICE_ROWS = 2048
-# The summary of slices is gathered and sent to every task, so their number is bounded; beyond
-# it the slices get larger.
+# Up to so many slices their summary is gathered and sent to every task. Beyond it, branches of so many consecutive
+# slices each are compared first, and then the slices of two branches at a time; slices stay as they are.
 MAX_SLICES = 2048
 PIVOTS = 64
 
@@ -130,6 +130,51 @@ def _partners(summary: list, reach_limit: float | None) -> list[tuple[int, list[
     return result
 
 
+_SUMMARY_DDL = "slice int, centre array<double>, radius double, reach double"
+
+
+def _branch_summary(table: pa.Table) -> pa.Table:
+    """Centre, radius and reach of a branch: no vector of its slices is further from the centre than the radius."""
+    centres = kernels.stack(table["centre"])
+    centre = centres.mean(axis=0)
+    radius = np.sqrt(((centres - centre) ** 2).sum(axis=1)) + table["radius"].to_numpy()
+    return pa.table({
+        "slice": pa.array([table["branch"][0].as_py()], pa.int32()), "centre": pa.array([centre.tolist()]),
+        "radius": pa.array([float(radius.max())]), "reach": pa.array([float(table["reach"].to_numpy().max())]),
+    })
+
+
+def _partners_by_branch(summary: DataFrame, reach_limit: float | None, branch_slices: int) -> DataFrame:
+    """``slice`` and ``_partner`` as in ``_partners``, for any number of slices.
+
+    Consecutive slices, which lie together, are a branch. Branches that may hold neighbours of
+    each other meet, and a task compares the summaries of the slices of two branches. One row per
+    branch reaches the driver, that is one for every ``branch_slices`` slices of rows.
+    """
+    branched = summary.withColumn("branch", F.floor(F.col("slice") / branch_slices).cast("int"))
+    tops = branched.groupBy("branch").applyInArrow(_branch_summary, _SUMMARY_DDL).collect()
+    met = [(one, other) for one, others in _partners(tops, reach_limit) for other in others]
+    pairs = summary.sparkSession.createDataFrame(met, "branch int, other int")
+    fields = F.collect_list(F.struct("slice", "centre", "radius", "reach"))
+    held = cut_lineage(branched.groupBy("branch").agg(fields.alias("slices")))  # ``branch_slices`` of them
+    both = pairs.join(held, "branch").join(held.select(F.col("branch").alias("other"), F.col("slices").alias("others")), "other")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for one, two, same in zip(
+                batch.column("slices").to_pylist(), batch.column("others").to_pylist(),
+                [a == b for a, b in zip(batch.column("branch").to_pylist(), batch.column("other").to_pylist(), strict=True)], strict=True,
+            ):
+                mine = {row["slice"] for row in one}
+                found = _partners(one if same else one + two, reach_limit)
+                met = [(s, p) for s, partners in found if s in mine for p in partners if same or p not in mine]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([s for s, _ in met], pa.int32()), pa.array([p for _, p in met], pa.int32())], ["slice", "_partner"]
+                )
+
+    return both.select("slices", "others", "branch", "other").mapInArrow(compare, "slice int, _partner int")
+
+
 def _chained(pivots: np.ndarray) -> np.ndarray:
     """The pivots in an order in which each is followed by the nearest one left."""
     left = pivots[np.argsort(((pivots - pivots.mean(axis=0)) ** 2).sum(axis=1))]
@@ -163,15 +208,14 @@ def _nearest_pivot(pivots: np.ndarray, metric: str):
 
 
 def _block_rows(count: int, block_rows: int, parallelism: int) -> int:
-    """Rows per slice: enough slices to keep all cores busy, none larger than asked, but no
-    more slices than the summary may have."""
+    """Rows per slice: enough slices to keep all cores busy, none larger than asked."""
     busy = math.ceil(count / max(1, 2 * math.isqrt(parallelism) + 1))
-    return max(min(block_rows, max(MIN_SLICE_ROWS, busy)), math.ceil(count / MAX_SLICES))
+    return min(block_rows, max(MIN_SLICE_ROWS, busy))
 
 
 def _sliced(
     groups: DataFrame, metric: str, keep: int, identical: bool, block_rows: int,
-    reach_limit: float | None,
+    reach_limit: float | None, max_slices: int = MAX_SLICES,
 ) -> DataFrame:
     """Distinct vectors with ``slice`` and, per row, one copy for each pair of slices to compare.
 
@@ -194,16 +238,17 @@ def _sliced(
     numbered = dense_id(placed, ["cell", "apart", "gid"], "place").withColumn(
         "slice", F.floor(F.col("place") / per_slice).cast("int")
     ).select("gid", "vec", "ids", "slice")
-    summary = numbered.groupBy("slice").applyInArrow(
-        _slice_summary(metric, keep, identical),
-        "slice int, centre array<double>, radius double, reach double",
-    ).collect()  # at most MAX_SLICES rows
-    partners = spark.createDataFrame(
-        _partners(summary, reach_limit), "slice int, partners array<int>"
-    )
-    spread = numbered.join(F.broadcast(partners), "slice").withColumn(
-        "_partner", F.explode("partners")
-    )
+    summary = numbered.groupBy("slice").applyInArrow(_slice_summary(metric, keep, identical), _SUMMARY_DDL)
+    if math.ceil(count / per_slice) <= max_slices:
+        partners = spark.createDataFrame(
+            _partners(summary.collect(), reach_limit), "slice int, partners array<int>"
+        )
+        spread = numbered.join(F.broadcast(partners), "slice").withColumn(
+            "_partner", F.explode("partners")
+        )
+    else:
+        pairs = cut_lineage(_partners_by_branch(cut_lineage(summary), reach_limit, max_slices))
+        spread = numbered.join(pairs, "slice")
     return spread.select(
         "gid", "vec", "ids", "slice",
         F.least("slice", "_partner").alias("first"), F.greatest("slice", "_partner").alias("second"),
@@ -320,6 +365,7 @@ def exact_neighbours(
     distance: str = "euclidean",
     include_identical: bool = True,
     block_rows: int = BLOCK_ROWS,
+    max_slices: int = MAX_SLICES,
 ) -> DataFrame:
     """The ``k`` nearest other rows of every row: ``id``, ``neighbour_id``, ``distance``, ``rank``.
 
@@ -330,7 +376,7 @@ def exact_neighbours(
     points = vectors(df, id_col, vec_col)
     keep = k + 1  # the row itself may be among the nearest
     groups = cut_lineage(collapse_copies(points, keep))
-    blocks = _sliced(groups, distance, keep, include_identical, block_rows, None)
+    blocks = _sliced(groups, distance, keep, include_identical, block_rows, None, max_slices)
     lists = search_blocks(
         blocks, keep, distance, include_identical, None, ["first", "second"], []
     )

@@ -50,6 +50,14 @@ def exact_neighbours(spark, sf_dir):
     return _long(nb.exact_neighbours(embeddings(spark, sf_dir), "id", "vec"))
 
 
+@query("M7 J2 W1", f"""{_pairs_sql(_EUCLIDEAN)}, {_TOP}
+SELECT id, neighbour_id, round(distance, 9) AS distance, rank FROM top""")
+def exact_neighbours_blocked(spark, sf_dir):
+    """The way for many slices, forced here: slices of 32 vectors, branches of 4 slices."""
+    rows = embeddings(spark, sf_dir)
+    return _long(nb.exact_neighbours(rows, "id", "vec", block_rows=32, max_slices=4))
+
+
 @query("M7 J2 W1 X6", f"""{_pairs_sql(_COSINE)}, {_TOP}
 SELECT id, neighbour_id, round(distance, 9) AS distance, rank FROM top""")
 def exact_neighbours_cosine(spark, sf_dir):
