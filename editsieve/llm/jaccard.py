@@ -17,16 +17,18 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from editsieve.llm import exchange
 from editsieve.llm.components import components
-from editsieve.llm.words import mix, runs, split_words
+from editsieve.llm.words import mix, release_memory, runs, split_words
 
 SHINGLE = 5
 PERCENT = 80
@@ -35,6 +37,7 @@ SEEDS = 6
 MASK_BYTES = 8 << 20
 HUBS = 8
 BLOCK = 256
+SLICE_BYTES = 1 << 20  # of text that is worked on at once
 _LAST = np.iinfo(np.int64).max
 _U = np.uint64
 
@@ -82,6 +85,16 @@ def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return total[first[1:]] - total[first[:-1]]
 
 
+def row_slices(texts: pa.ChunkedArray, rows: np.ndarray, most: int = SLICE_BYTES) -> Iterator[np.ndarray]:
+    """``rows`` in runs of about ``most`` bytes of text, so that the arrays of a run stay small."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy()[rows]
+    ends, at = np.cumsum(sizes, dtype=np.int64), 0
+    while at < len(rows):
+        upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, "right")))
+        yield rows[at:upto]
+        at = upto
+
+
 # ---- signatures ----
 
 
@@ -175,26 +188,49 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per
     largest and is its own class's id only if nothing else is in it (then null). Whole texts, all rows; no cap on the
     number of sets that share a signature.
     """
-    chunks = exchange.pack(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), "text")
-    sets = exchange.written(chunks.select("chunk", "data").mapInArrow(_describe(length), _SET_DDL))
+    _, rows = _classified(docs.select(id_col, text_col), id_col, text_col, percent, length)
+    real = F.when(F.col("id") != _LAST, F.col("id"))
+    least = F.coalesce("least", "id")
+    return rows.select(real.alias(id_col), F.col("n_shingles"), F.when(least != _LAST, least).alias("component_id"))
+
+
+def first_of_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, length: int = SHINGLE) -> DataFrame:
+    """``docs`` without the rows that are linked, over any number of links, with another row that stays.
+
+    Of each class the row of the smallest id stays, of equal ids one; a null id counts as the largest. Rows are told
+    apart by their place, so rows of one id may be in different classes. Rows without words all stay.
+    """
+    chunks, rows = _classified(docs, id_col, text_col, percent, length)
+    held = rows.filter("n_shingles > 0").groupBy("component").agg(F.min(F.struct("id", "chunk", "row")).alias("first"))
+    held = held.select("first.chunk", "first.row").union(rows.filter("n_shingles = 0").select("chunk", "row"))
+
+    def take(_: int, table: pa.Table, got: np.ndarray) -> Iterator[pa.Table]:
+        for some in row_slices(table.column(text_col), got, 4 * SLICE_BYTES):
+            yield table.take(pa.array(some))
+
+    return _per_chunk(chunks, exchange.written(held), take, docs.schema)
+
+
+def _classified(docs: DataFrame, id_col: str, text_col: str, percent: int, length: int) -> tuple[DataFrame, DataFrame]:
+    """``docs`` in chunks, and chunk, row, id, n_shingles, component and the least id there (both null without words)."""
+    chunks = exchange.pack(docs, text_col)
+    sets = exchange.written(chunks.select("chunk", "data").mapInArrow(_describe(id_col, text_col, length), _SET_DDL))
     alike = sets.filter("n_shingles > 0").groupBy("print_a", "print_b").agg(
-        F.min("id").alias("least"), F.min(F.struct("chunk", "row")).alias("one")
+        F.min("id").alias("least"), F.min(F.struct("chunk", "row")).alias("one"), F.first("n_shingles").alias("size")
     )
-    alike = exchange.written(alike.select("print_a", "print_b", "least", ((F.col("one.chunk") * (1 << 16)) + F.col("one.row")).alias("set")))
-    links = exchange.written(_links(chunks, sets, alike, percent, length))
+    alike = exchange.written(alike.select(
+        "print_a", "print_b", "least", "size", ((F.col("one.chunk") * (1 << 16)) + F.col("one.row")).alias("set")
+    ))
+    links = exchange.written(_links(chunks, sets, alike, text_col, percent, length))
     label = components(links, "a", "b")
     # classes of sets, then of documents
     of_set = alike.join(label.withColumnRenamed("node", "set"), "set", "left").select(
         "print_a", "print_b", "least", F.coalesce("component", "set").alias("component")
     )
-    smallest = of_set.groupBy("component").agg(F.min("least").alias("component_id"))
-    of_set = of_set.join(smallest, "component").select("print_a", "print_b", "component_id")
-    joined = sets.drop("sketch").join(of_set, ["print_a", "print_b"], "left")
-    real = F.when(F.col("id") != _LAST, F.col("id"))
-    least = F.coalesce("component_id", "id")
-    return joined.select(
-        real.alias(id_col), F.col("n_shingles"), F.when(least != _LAST, least).alias("component_id")
-    )
+    smallest = of_set.groupBy("component").agg(F.min("least").alias("least"))
+    of_set = of_set.drop("least").join(smallest, "component").select("print_a", "print_b", "component", "least")
+    rows = sets.drop("sketch").join(of_set, ["print_a", "print_b"], "left")
+    return chunks, rows.select("chunk", "row", "id", "n_shingles", "component", "least")
 
 
 _SET_DDL = "chunk long, row int, id long, n_shingles long, print_a long, print_b long, sketch binary"
@@ -214,64 +250,70 @@ def _may_link(one: np.ndarray, two: np.ndarray, sizes: int, percent: int) -> boo
     return 100 * most >= percent * (sizes - most)
 
 
-def _describe(length: int):
+def _describe(id_col: str, text_col: str, length: int):
     schema = exchange.arrow_schema(_SET_DDL)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, data in zip(batch.column("chunk").to_pylist(), batch.column("data"), strict=True):
                 table = exchange.from_bytes(data.as_buffer())
-                sets = shingle_sets(table.column("text"), length)
-                rows = table.num_rows
-                prints = [mix(_sums(mix(sets.shingle, s), sets.first) + sets.sizes.astype(_U), s).view(np.int64) for s in (21, 22)]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(rows, number)), pa.array(np.arange(rows), pa.int32()),
-                    pc.fill_null(table.column("id"), _LAST).combine_chunks(), pa.array(sets.sizes, pa.int64()),
-                    pa.array(prints[0]), pa.array(prints[1]),
-                    pa.array([_sketch(sets.shingle[a:b]) for a, b in zip(sets.first[:-1], sets.first[1:], strict=True)], pa.binary()),
-                ], schema=schema)
+                ids = pc.fill_null(table.column(id_col).cast(pa.int64()), _LAST).to_numpy()
+                for rows in row_slices(table.column(text_col), np.arange(table.num_rows)):
+                    sets = shingle_sets(table.column(text_col).slice(rows[0], len(rows)), length)
+                    prints = [mix(_sums(mix(sets.shingle, s), sets.first) + sets.sizes.astype(_U), s).view(np.int64) for s in (21, 22)]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.full(len(rows), number)), pa.array(rows, pa.int32()), pa.array(ids[rows]), pa.array(sets.sizes, pa.int64()),
+                        pa.array(prints[0]), pa.array(prints[1]),
+                        pa.array([_sketch(sets.shingle[a:b]) for a, b in zip(sets.first[:-1], sets.first[1:], strict=True)], pa.binary()),
+                    ], schema=schema)
+                release_memory()
 
     return each
 
 
-def _links(chunks: DataFrame, sets: DataFrame, alike: DataFrame, percent: int, length: int) -> DataFrame:
+def _links(chunks: DataFrame, sets: DataFrame, alike: DataFrame, text_col: str, percent: int, length: int) -> DataFrame:
     """Pairs (a, b) of sets that link and connect all that links connect. A set is named chunk * 65536 + row."""
     parts = exchange.parts_of(chunks)
     # which rows of a chunk stand for their set
     members = alike.select(F.shiftright("set", 16).alias("chunk"), F.col("set").bitwiseAND(0xFFFF).cast("int").alias("row"))
-
-    def sign(number: int, table: pa.Table, got: np.ndarray) -> pa.Table:
-        sets = shingle_sets(table.column("text").take(pa.array(got)), length)
-        signature, row, slack = signatures(sets, percent)
+    verify = partial(_verify, chunks, sets, alike, text_col, percent, length)
+
+    def sign(number: int, table: pa.Table, got: np.ndarray) -> Iterator[pa.Table]:
+        texts, held = table.column(text_col), []
+        for rows in row_slices(texts, got):
+            signature, row, slack = signatures(shingle_sets(texts.take(pa.array(rows)), length), percent)
+            held.append((signature, rows[row].astype(np.uint16), slack.clip(0, 255).astype(np.uint8)))
+        if not held:
+            return
+        signature, row, slack = (np.concatenate(x) for x in zip(*held, strict=True))
         order = np.argsort(signature, kind="stable")
         signature, row, slack = signature[order], row[order], slack[order]
         bounds = exchange.part_bounds(signature, parts)
         # the part says the high bits; of the others 40 are sent, as sets that share those alone do no harm
-        low, high, row = signature.astype(np.uint32), (signature >> _U(32)).astype(np.uint8), got[row].astype(np.uint16)
-        slack = slack.clip(0, 255).astype(np.uint8)
+        low, high = signature.astype(np.uint32), (signature >> _U(32)).astype(np.uint8)
         sent = (
             (int(p), low[a:b].tobytes() + row[a:b].tobytes() + high[a:b].tobytes() + slack[a:b].tobytes())
             for p in np.flatnonzero(np.diff(bounds)) for a, b in [(bounds[p], bounds[p + 1])]
         )
-        return pa.Table.from_batches([exchange.messages(number, sent)])
+        yield pa.Table.from_batches([exchange.messages(number, sent)])
 
     # buckets: sets with one signature, kept as flat arrays
     buckets = exchange.written(_per_chunk(chunks, members, sign, exchange.SENT_DDL).groupBy("part").applyInArrow(_buckets, "data binary"))
     stars = exchange.written(buckets.mapInArrow(_stars, "a long, b long").distinct())
-    first = exchange.written(_verify(chunks, sets, stars, percent, length))
+    first = exchange.written(verify(stars))
     few, many = _rest(buckets, stars, components(first, "a", "b"))
     if not few.isEmpty():
-        first = exchange.written(first.unionByName(_verify(chunks, sets, few, percent, length)))
+        first = exchange.written(first.unionByName(verify(few)))
     if many.isEmpty():
         return first
     # sets of frequent signatures: compared with some hubs of their group, then what is left with the whole group
     group = _grouped(many)
-    first = exchange.written(first.unionByName(_verify(chunks, sets, _to_hubs(_labelled(group, first)), percent, length)))
-    return first.unionByName(_by_blocks(chunks, _labelled(group, first), percent, length))
+    first = exchange.written(first.unionByName(verify(_to_hubs(_labelled(group, first)))))
+    return first.unionByName(_by_blocks(chunks, _labelled(group, first), text_col, percent, length))
 
 
-def _per_chunk(chunks: DataFrame, rows: DataFrame, work, ddl: str) -> DataFrame:
-    """``work`` gets number and table of each chunk with the sorted rows that are asked for, if any.
+def _per_chunk(chunks: DataFrame, rows: DataFrame, work, ddl: str | StructType) -> DataFrame:
+    """``work`` gets number and table of each chunk with the sorted rows that are asked for, if any, and gives tables.
 
     What is asked for is one bit per row of a chunk. Below ``MASK_BYTES`` in all (checked by the number of chunks) the
     masks are broadcast and the chunks stay where they are; beyond it both are shuffled by chunk.
@@ -283,19 +325,22 @@ def _per_chunk(chunks: DataFrame, rows: DataFrame, work, ddl: str) -> DataFrame:
         asked[table.column("row").to_numpy()] = 1
         return pa.table([table.column("chunk")[:1], pa.array([np.packbits(asked).tobytes()], pa.binary())], ["chunk", "asked"])
 
-    def one(number: int, data, asked) -> pa.Table:
+    def one(number: int, data, asked) -> Iterator[pa.RecordBatch]:
         got = np.flatnonzero(np.unpackbits(np.frombuffer(asked, np.uint8)))
-        return work(number, exchange.from_bytes(data), got).cast(schema)
+        for table in work(number, exchange.from_bytes(data), got):
+            yield from table.cast(schema).combine_chunks().to_batches()
+        release_memory()
 
     def each(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return schema.empty_table()
-        return one(left.column("chunk")[0].as_py(), left.column("data")[0].as_buffer(), right.column("asked")[0].as_buffer())
+        found = one(left.column("chunk")[0].as_py(), left.column("data")[0].as_buffer(), right.column("asked")[0].as_buffer())
+        return pa.Table.from_batches(list(found), schema)
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, data, asked in zip(batch.column("chunk").to_pylist(), batch.column("data"), batch.column("asked"), strict=True):
-                yield from one(number, data.as_buffer(), asked.as_buffer()).to_batches()
+                yield from one(number, data.as_buffer(), asked.as_buffer())
 
     masks = rows.groupBy("chunk").applyInArrow(pack, "chunk long, asked binary")
     held = chunks.select("chunk", "data")
@@ -322,6 +367,7 @@ def _buckets(table: pa.Table) -> pa.Table:
     size = np.diff(np.append(begin, len(signature)))
     shared = np.repeat(size > 1, size)
     packed = pa.table({"signature": signature[shared], "member": member[shared], "slack": slack[shared]})
+    release_memory()
     return pa.table({"data": [exchange.to_bytes(packed)]}, schema=pa.schema([("data", pa.binary())]))
 
 
@@ -395,13 +441,13 @@ def _to_hubs(rows: DataFrame) -> DataFrame:
     return exchange.written(pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct())
 
 
-def _by_blocks(chunks: DataFrame, rows: DataFrame, percent: int, length: int) -> DataFrame:
+def _by_blocks(chunks: DataFrame, rows: DataFrame, text_col: str, percent: int, length: int) -> DataFrame:
     """Links of the sets outside the largest class of their group with all sets of the group.
 
     Blocks of sets meet as matrices of shingles; a pair of blocks is one row, and it gives only links, one for each
     set and class that it meets.
     """
-    whole = exchange.written(_sets_of(chunks, rows.select("node"), length))
+    whole = exchange.written(_sets_of(chunks, rows.select("node"), text_col, length))
     packed = rows.join(whole, "node").withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / BLOCK)))
 
     def pack(table: pa.Table) -> pa.Table:
@@ -453,28 +499,34 @@ def _matching(one: pa.Table, two: pa.Table, percent: int, width: int = 2048) ->
     return np.nonzero((100 * common >= percent * union) & other)
 
 
-def _verify(chunks: DataFrame, sets: DataFrame, pairs: DataFrame, percent: int, length: int) -> DataFrame:
-    """Pairs whose sets link: sketches rule most others out, what is left is compared exactly on hashed shingles."""
-    node = ((F.col("chunk") * (1 << 16)) + F.col("row")).alias("node")
-    known = sets.select(node, F.col("n_shingles").alias("n"), "sketch")
+def _verify(
+    chunks: DataFrame, sets: DataFrame, alike: DataFrame, text_col: str, percent: int, length: int, pairs: DataFrame
+) -> DataFrame:
+    """Pairs whose sets link: sizes, then sketches rule most others out, what is left is compared on hashed shingles."""
+    sizes = alike.select(F.col("set").alias("node"), F.col("size").alias("n"))
     met = (
-        pairs.join(known.selectExpr("node AS a", "n AS na", "sketch AS sa"), "a")
-        .join(known.selectExpr("node AS b", "n AS nb", "sketch AS sb"), "b")
+        pairs.join(sizes.selectExpr("node AS a", "n AS na"), "a").join(sizes.selectExpr("node AS b", "n AS nb"), "b")
         .filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
     )
+    # sketches are long, so they are read for the pairs that sizes leave
+    met = exchange.written(met.select("a", "b", (F.col("na") + F.col("nb")).alias("size")))
+    node = ((F.col("chunk") * (1 << 16)) + F.col("row")).alias("node")
+    known = sets.select(node, "sketch").join(met.select(F.col("a").alias("node")).union(met.select("b")).distinct(), "node", "left_semi")
+    known = exchange.written(known)
+    met = met.join(known.selectExpr("node AS a", "sketch AS sa"), "a").join(known.selectExpr("node AS b", "sketch AS sb"), "b")
 
     def plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = pc.add(batch.column("na"), batch.column("nb")).to_pylist()
             keep = [
                 _may_link(np.frombuffer(x.as_buffer(), np.uint8), np.frombuffer(y.as_buffer(), np.uint8), n, percent)
-                for x, y, n in zip(batch.column("sa"), batch.column("sb"), sizes, strict=True)
+                for x, y, n in zip(batch.column("sa"), batch.column("sb"), batch.column("size").to_pylist(), strict=True)
             ]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        release_memory()
 
     near = exchange.written(met.mapInArrow(plausible, "a long, b long"))
     nodes = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
-    whole = exchange.written(_sets_of(chunks, nodes, length))
+    whole = exchange.written(_sets_of(chunks, nodes, text_col, length))
     met = near.join(whole.selectExpr("node AS a", "shingles AS sa"), "a").join(whole.selectExpr("node AS b", "shingles AS sb"), "b")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -485,17 +537,20 @@ def _verify(chunks: DataFrame, sets: DataFrame, pairs: DataFrame, percent: int,
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * common >= percent * (len(x) + len(y) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            release_memory()
 
     return met.mapInArrow(compare, "a long, b long")
 
 
-def _sets_of(chunks: DataFrame, nodes: DataFrame, length: int) -> DataFrame:
+def _sets_of(chunks: DataFrame, nodes: DataFrame, text_col: str, length: int) -> DataFrame:
     """(node, shingles) of distinct nodes, from the texts."""
     wanted = nodes.select(F.shiftright("node", 16).alias("chunk"), F.col("node").bitwiseAND(0xFFFF).cast("int").alias("row"))
 
-    def fetch(number: int, table: pa.Table, got: np.ndarray) -> pa.Table:
-        found = shingle_sets(table.column("text").take(pa.array(got)), length)
-        data = [found.shingle[a:b].tobytes() for a, b in zip(found.first[:-1], found.first[1:], strict=True)]
-        return pa.table({"node": pa.array(got.astype(np.int64) + (number << 16)), "shingles": pa.array(data, pa.binary())})
+    def fetch(number: int, table: pa.Table, got: np.ndarray) -> Iterator[pa.Table]:
+        texts = table.column(text_col)
+        for rows in row_slices(texts, got):
+            found = shingle_sets(texts.take(pa.array(rows)), length)
+            data = [found.shingle[a:b].tobytes() for a, b in zip(found.first[:-1], found.first[1:], strict=True)]
+            yield pa.table({"node": pa.array(rows.astype(np.int64) + (number << 16)), "shingles": pa.array(data, pa.binary())})
 
     return _per_chunk(chunks, wanted, fetch, "node long, shingles binary")

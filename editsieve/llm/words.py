@@ -6,6 +6,8 @@ A word is a maximal run of bytes other than 0x20 and 0x09-0x0D. The hash of a wo
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -16,6 +18,20 @@ _SLICE = 1 << 20
 _SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
 
+@lru_cache(maxsize=1)
+def _trim():
+    name = ctypes.util.find_library("c")
+    return getattr(ctypes.CDLL(name), "malloc_trim", None) if name else None
+
+
+def release_memory() -> None:
+    """Give what freed arrays held back to the system; a worker process lives on and would keep its largest size."""
+    pa.default_memory_pool().release_unused()
+    trim = _trim()
+    if trim is not None:
+        trim(0)
+
+
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """A bijective scrambling of 64-bit numbers, different for each seed."""
     with np.errstate(over="ignore"):
