@@ -5,12 +5,13 @@ on all that its predecessor kept and its decisions take effect:
 
 1. quality: documents that the classifier rejects go (labels of the input that are still there train it);
 2. toxicity: documents that the chain calls toxic go;
-3. near_duplicates: of each class of linked documents the one with the smallest id stays;
+3. near_duplicates: of each class of linked documents the one with the smallest id stays (of equal ids one row, a null
+   id last); rows are told apart by their place, so documents that share an id may go different ways;
 4. repeated_passages: words in windows that also start in an earlier document go; ``n_chars`` follows the text;
 5. packing: the documents become pieces of sequences.
 
-A document with a null text has no words: the first stages judge it like any other, the third links it with nothing,
-the fourth gives it an empty text. The stages on trained models cannot be said in SQL, so ``ORACLE_SQL`` is None, and
+A document with a null text has no words: the first stages judge it like any other, the third links it with nothing
+and keeps it, the fourth gives it an empty text. The stages on trained models cannot be said in SQL, so ``ORACLE_SQL`` is None, and
 ``tests/llm`` checks each stage against a brute-force version.
 """
 
@@ -43,9 +44,7 @@ def keep_civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def keep_first_of_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     del spark, sf_dir
-    classes = jaccard.classes(docs)
-    others = classes.filter("component_id != doc_id").select("doc_id")
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    return jaccard.first_of_classes(docs)
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
