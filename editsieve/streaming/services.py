@@ -25,25 +25,34 @@ COLLECT_SHARE = 0.2
 DETECT_SHARE = 0.2
 # A version stays readable for this long after its reader should have looked for a newer one.
 LEASE_SECONDS = 600
+# Groups that the edits of one user and minute are dealt to in a stream.
+ACTIVITY_SALTS = 8
 
 SCORED_COLUMNS = ["id", "timestamp", "user", "bot", "prediction"]
 
 
-def enrich_activity_stream(changes: DataFrame, watermark: str = "1 minute") -> DataFrame:
+def enrich_activity_stream(changes: DataFrame, watermark: str = "1 minute", salts: int = ACTIVITY_SALTS) -> DataFrame:
     """Edits with their user's edits in the same minute, exact across batches.
 
     Append mode: an edit comes out once its minute has passed the watermark, so the output is
     late by up to a minute and the watermark. ``enrich_activity`` inside a batch is the variant
     without delay, which counts within the batch only.
+
+    Counts are combined before the shuffle. The edits of one user and minute are dealt to
+    ``salts`` groups by a hash of the edit, each of which gets the count, so that a user who
+    makes most of the edits is not one task and one state.
     """
     timed = ch.with_event_time(changes, "_event_time").withWatermark("_event_time", watermark)
     counts = timed.groupBy(F.window("_event_time", "1 minute").alias("_minute"), "user").agg(
         F.count(F.lit(1)).alias("edits_per_minute")
-    ).select(F.col("_minute").alias("_minute_b"), F.col("user").alias("_user_b"), "edits_per_minute")
-    edits = timed.withColumn("_minute_a", F.window("_event_time", "1 minute")).drop("_event_time")
-    joined = edits.join(
-        counts, (F.col("user") == F.col("_user_b")) & (F.col("_minute_a") == F.col("_minute_b")), "left"
+    ).select(
+        F.col("_minute").alias("_minute_b"), F.col("user").alias("_user_b"), "edits_per_minute",
+        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt_b"),
     )
+    salt = F.pmod(F.xxhash64(*changes.columns), F.lit(salts)).cast("int")
+    edits = timed.withColumns({"_minute_a": F.window("_event_time", "1 minute"), "_salt_a": salt}).drop("_event_time")
+    same = (F.col("user") == F.col("_user_b")) & (F.col("_minute_a") == F.col("_minute_b"))
+    joined = edits.join(counts, same & (F.col("_salt_a") == F.col("_salt_b")), "left")
     return ch.fill_missing(joined, {"edits_per_minute": 0}).select(*changes.columns, "edits_per_minute")
 
 
