@@ -97,15 +97,15 @@ def fit(x: Sparse, y: np.ndarray, penalty: float, rounds: int = 100, memory: int
 def labelled(docs: DataFrame, labels: DataFrame, columns: list[str], id_col: str, text_col: str, limit: int) -> DataFrame:
     """At most ``limit`` labelled documents, chosen by a hash of the id: id, text and the label columns.
 
-    Labels that are null, or differ between rows of one id, are left out. The sample of labels is what is broadcast;
-    the sample of documents is written once, as it is read several times.
+    A label that differs between rows of one id is null, like one that is not given; ids without any label are left
+    out. Of the rows of one id the one with the least hash of its text counts, so that a repeated id is one document.
+    The sample of labels is what is broadcast; the sample of documents is written once, as it is read several times.
     """
-    agreed = [c for x in columns for c in (F.min(x).alias(x), F.max(x).alias(f"_{x}"))]
+    agreed = [F.when(F.min(x) == F.max(x), F.min(x)).alias(x) for x in columns]
     chosen = labels.filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(*agreed)
-    for x in columns:
-        chosen = chosen.filter(F.col(x) == F.col(f"_{x}"))
-    chosen = chosen.select(id_col, *columns).orderBy(F.xxhash64(id_col), id_col).limit(limit)
-    return cut_lineage(docs.select(id_col, text_col).join(F.broadcast(chosen), id_col))
+    chosen = chosen.filter(F.coalesce(*columns).isNotNull()).orderBy(F.xxhash64(id_col), id_col).limit(limit)
+    held = docs.select(id_col, text_col).join(F.broadcast(chosen), id_col)
+    return cut_lineage(held.groupBy(id_col, *columns).agg(F.min_by(text_col, F.xxhash64(text_col)).alias(text_col)).select(id_col, text_col, *columns))
 
 
 def folds(ids: np.ndarray, count: int) -> np.ndarray:

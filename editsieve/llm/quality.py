@@ -18,14 +18,14 @@ from pyspark.sql import DataFrame, functions as F
 from editsieve.llm import linear
 from editsieve.llm.exchange import arrow_schema, extended
 from editsieve.llm.pieces import slices
-from editsieve.llm.words import runs, split_words
+from editsieve.llm.words import release_memory, runs, split_words
 from editsieve.session import cut_lineage
 
 MAX_LABELLED = 20_000
 BINS = 12
 PENALTY = 0.5
 KEEP_FROM = 0.5
-_BATCH_BYTES = 4 << 20
+_BATCH_BYTES = 1 << 20
 _ASCII = np.arange(256)
 _UPPER = (_ASCII >= 0x41) & (_ASCII < 0x5B)
 _LOWER = (_ASCII >= 0x61) & (_ASCII < 0x7B)
@@ -107,9 +107,11 @@ def fit_form(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col:
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = form(batch.column(text_col))
-            held = pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1) * values.shape[1], pa.int32()), pa.array(values.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(id_col).cast(pa.int64()), batch.column(label).cast(pa.int32()), held], ["id", "y", "held"])
+            for rows in slices(batch.column(text_col), _BATCH_BYTES):
+                part = batch.slice(rows.start, rows.stop - rows.start)
+                values = form(part.column(text_col))
+                held = pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1) * values.shape[1], pa.int32()), pa.array(values.ravel()))
+                yield pa.RecordBatch.from_arrays([part.column(id_col).cast(pa.int64()), part.column(label).cast(pa.int32()), held], ["id", "y", "held"])
 
     rows = sample.mapInArrow(measured, "id long, y int, held array<double>").collect()
     rows.sort(key=lambda r: (r["id"], r["held"]))
@@ -137,6 +139,7 @@ def with_evidence(docs: DataFrame, model: FormModel, text_col: str = "text", nam
             for rows in slices(batch.column(text_col), _BATCH_BYTES):
                 part = batch.slice(rows.start, rows.stop - rows.start)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(model.evidence(part.column(text_col)))], schema=arrow_schema(schema))
+            release_memory()
 
     return docs.mapInArrow(each, schema)
 

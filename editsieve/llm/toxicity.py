@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 from editsieve.llm import linear
 from editsieve.llm.exchange import arrow_schema, extended
 from editsieve.llm.pieces import slices
-from editsieve.llm.words import LETTER_BYTES, mix, split_words
+from editsieve.llm.words import LETTER_BYTES, mix, release_memory, split_words
 from editsieve.session import cut_lineage
 
 MAX_LABELLED = 20_000
@@ -26,7 +26,7 @@ FOLDS = 3
 PENALTY = 0.1
 LEAST_DOCUMENTS = 5
 _STARTS = (3, 4, 5, 6, 8)
-_BATCH_BYTES = 4 << 20
+_BATCH_BYTES = 1 << 20
 
 
 def word_starts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -46,6 +46,14 @@ def word_starts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return row[new], key[new]
 
 
+def _parts(batches: Iterator[pa.RecordBatch], text_col: str) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about a megabyte of text."""
+    for batch in batches:
+        for rows in slices(batch.column(text_col), _BATCH_BYTES):
+            yield batch.slice(rows.start, rows.stop - rows.start)
+        release_memory()
+
+
 @dataclass
 class Chain:
     """Sorted feature hashes and, for each category in order, weights (features, then earlier categories) and intercept."""
@@ -79,14 +87,15 @@ def fit_chain(
     """The chain over 0/1 columns of ``labels``, in the order of ``categories``.
 
     The sample has at most ``max_labelled`` documents; of each only its entries among the chosen features reach the
-    driver. Without labels every category has probability one half.
+    driver. A category is fitted on the documents that have its label, the others are predicted for the categories
+    after it. Without labels every category has probability one half.
     """
     sample = linear.labelled(docs, labels, categories, id_col, text_col, max_labelled)
     chosen = _features(sample, categories, text_col, features)
     empty = Chain(categories, chosen, [], [])
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches, text_col):
             row, key = word_starts(batch.column(text_col))
             x = empty.matrix(row, key, batch.num_rows)
             counts = np.bincount(x.row, minlength=batch.num_rows)
@@ -105,13 +114,15 @@ def fit_chain(
     models, thresholds = [], []
     for category in categories:
         y = np.array([r[category] for r in rows], float)
+        known = ~np.isnan(y)
         whole = x.beside(earlier)
-        models.append(linear.fit(whole, y, PENALTY))
+        models.append(linear.fit(whole.take(known), y[known], PENALTY))
         outside = np.zeros(len(rows))
         for k in range(FOLDS):
-            weights, intercept = linear.fit(whole.take(fold != k), y[fold != k], PENALTY)
+            used = known & (fold != k)
+            weights, intercept = linear.fit(whole.take(used), y[used], PENALTY)
             outside[fold == k] = linear.sigmoid(whole.take(fold == k).times(weights) + intercept)
-        thresholds.append(_threshold(outside, y))
+        thresholds.append(_threshold(outside[known], y[known]))
         earlier = np.column_stack([earlier, linear.logit(outside)])
     return Chain(categories, chosen, models, thresholds)
 
@@ -131,28 +142,30 @@ def _features(sample: DataFrame, categories: list[str], text_col: str, most: int
     """For each category the ``most`` word beginnings whose documents differ most between its classes."""
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches, text_col):
             row, key = word_starts(batch.column(text_col))
             keys, at = np.unique(key, return_inverse=True)
-            marks = [batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in categories]
+            marks = [batch.column(c).cast(pa.float64()).to_numpy(zero_copy_only=False) for c in categories]
+            marks = [x for m in marks for x in (~np.isnan(m), np.nan_to_num(m))]  # labelled, and positive
             found = [np.bincount(at, m[row], len(keys)).astype(np.int64) for m in marks]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys.view(np.int64)), pa.array(np.bincount(at, minlength=len(keys))), *map(pa.array, found)],
-                ["key", "n", *[f"_{k}" for k in range(len(categories))]],
+                ["key", "n", *names],
             )
 
-    names = [f"_{k}" for k in range(len(categories))]
+    names = [f"{kind}_{k}" for k in range(len(categories)) for kind in ("n", "p")]
     ddl = "key long, n long, " + ", ".join(f"{name} long" for name in names)
-    totals = sample.agg(F.count("*").alias("n"), *[F.sum(c).alias(name) for c, name in zip(categories, names, strict=True)]).first()
+    totals = sample.agg(*[f(c).alias(f"{kind}_{k}") for k, c in enumerate(categories) for kind, f in (("n", F.count), ("p", F.sum))]).first()
     by_key = cut_lineage(
         sample.select(text_col, *categories).mapInArrow(counts, ddl).groupBy("key")
         .agg(F.sum("n").alias("n"), *[F.sum(name).alias(name) for name in names]).filter(F.col("n") >= LEAST_DOCUMENTS)
     )
     chosen: set[int] = set()
-    for name in names:
-        positive, negative = float(totals[name] or 0), float(totals["n"] - (totals[name] or 0))
+    for k in range(len(categories)):
+        positive = float(totals[f"p_{k}"] or 0)
+        negative = float(totals[f"n_{k}"]) - positive
         if positive and negative:
-            a, b = F.col(name), F.col("n") - F.col(name)
+            a, b = F.col(f"p_{k}"), F.col(f"n_{k}") - F.col(f"p_{k}")
             # the log odds ratio, less its uncertainty: a strong sign beats one that is only frequent
             ratio = F.abs(F.log((a + 0.5) / (positive + 1)) - F.log((b + 0.5) / (negative + 1)))
             gain = ratio - 1.64 * F.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
@@ -171,13 +184,11 @@ def predict(docs: DataFrame, chain: Chain, text_col: str = "text") -> DataFrame:
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow = arrow_schema(schema)
-        for batch in batches:
-            for rows in slices(batch.column(text_col), _BATCH_BYTES):
-                part = batch.slice(rows.start, rows.stop - rows.start)
-                more = []
-                for p, t in zip(chain.probabilities(part.column(text_col)), chain.thresholds, strict=True):
-                    more += [pa.array(p), pa.array(p >= t)]
-                yield pa.RecordBatch.from_arrays([*part.columns, *more], schema=arrow)
+        for part in _parts(batches, text_col):
+            more = []
+            for p, t in zip(chain.probabilities(part.column(text_col)), chain.thresholds, strict=True):
+                more += [pa.array(p), pa.array(p >= t)]
+            yield pa.RecordBatch.from_arrays([*part.columns, *more], schema=arrow)
 
     return docs.mapInArrow(each, schema)
 

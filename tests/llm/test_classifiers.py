@@ -85,3 +85,24 @@ def test_regression_finds_the_weights():
     none = linear.Sparse(np.zeros(0, int), np.zeros(0, int), np.zeros(0), 4000, 0)
     weights, intercept = linear.fit(none.beside(dense), y, 0.01)
     assert np.allclose([*weights, intercept], [2, -1, 0, 0.5], atol=0.2)
+
+
+def test_sample_is_one_row_for_each_labelled_id(spark):
+    rows = [(1, "same text"), (1, "other text"), *[(2, f"copy {k % 3}") for k in range(3000)], (3, None), (4, "four"), (None, "null")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame(
+        [(1, 1, None), (2, 0, 1), (2, 0, 1), (3, None, 0), (4, 0, 1), (4, 1, 1), (5, 1, 1), (None, 1, 1), (6, None, None)], "doc_id long, quality int, toxic int"
+    )
+    got = linear.labelled(docs, labels, ["quality", "toxic"], "doc_id", "text", 100).collect()
+    assert len(got) == 4 and {(r["doc_id"], r["quality"], r["toxic"]) for r in got} == {(1, 1, None), (2, 0, 1), (3, None, 0), (4, None, 1)}
+    assert linear.labelled(docs, labels, ["quality", "toxic"], "doc_id", "text", 2).count() <= 2
+    again = linear.labelled(docs.repartition(3), labels, ["quality", "toxic"], "doc_id", "text", 100).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+
+
+def test_a_missing_label_of_one_category_keeps_the_other(spark):
+    docs = spark.createDataFrame([(k, ("vile awful " if k % 2 else "kind nice ") * 5) for k in range(80)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2 if k < 40 else None, k % 2 if k >= 30 else None) for k in range(80)], "doc_id long, poor int, toxic int")
+    chain = toxicity.fit_chain(docs, labels, ["poor", "toxic"])
+    got = toxicity.predict(docs, chain).collect()
+    assert all(r["is_poor"] == r["is_toxic"] == (r["doc_id"] % 2 == 1) for r in got)

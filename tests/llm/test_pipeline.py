@@ -1,6 +1,9 @@
 """The pipeline stage by stage, each against a plain version of its decision on its own input."""
 
+from collections import Counter
+
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -46,6 +49,20 @@ def test_one_of_each_class_stays(stages):
     assert {k for k, _ in pairs(stages[3])} == {least for _, least in classes.values()}
 
 
+def test_near_duplicates_go_by_row(spark):
+    """Null, repeated and clashing ids: of each class one row stays, and no class is lost."""
+    a, b = " ".join(f"alpha{k}" for k in range(30)), " ".join(f"beta{k}" for k in range(30))
+    near_b = b + " beta30"
+    rows = [(1, a), (5, a), (5, b), (9, near_b), (9, near_b), (None, a), (None, "only null"), (None, "only null"), (7, None), (7, None), (8, "  "), (3, "x"), (3, "x")]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t or "")) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.withColumn("chunk", F.lit("clash")).withColumn("component", F.lit("clash")).repartition(3)
+    got = corpus_pipeline.keep_first_of_class(spark, docs, "")
+    assert got.columns == docs.columns
+    want = Counter([(1, a), (5, b), (None, "only null"), (7, None), (7, None), (8, "  "), (3, "x")])
+    assert Counter((r["doc_id"], r["text"]) for r in got.collect()) == want
+    assert corpus_pipeline.keep_first_of_class(spark, docs.limit(0), "").collect() == []
+
+
 def test_repeated_passages_go(stages):
     before = pairs(stages[3])
     after = {r["doc_id"]: r for r in stages[4].collect()}
@@ -67,6 +84,6 @@ def test_run_is_the_stages_in_order(spark, stages):
 
 def test_queries_are_registered():
     names = entry.queries()
-    for number in range(1, 11):
+    for number in range(1, 14):
         assert len([n for n in names if n.startswith(f"op{number}_")]) == 1
     assert "pipeline" in names
