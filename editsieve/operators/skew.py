@@ -35,7 +35,8 @@ def value_bytes(column: Column, kind: T.DataType) -> Column:
 def fits(table: DataFrame, max_rows: int, max_bytes: int = BROADCAST_BYTES) -> bool:
     """Whether ``table`` is within both bounds; reads no more than one row beyond ``max_rows``."""
     size = sum((value_bytes(F.col(f"`{f.name}`"), f.dataType) for f in table.schema.fields), F.lit(_ROW_BYTES))
-    found = table.limit(max_rows + 1).agg(F.count("*").alias("rows"), F.sum(size).alias("bytes")).first()
+    sizes = table.select(size.alias("bytes"))  # so that only numbers go to the task that counts
+    found = sizes.limit(max_rows + 1).agg(F.count("*").alias("rows"), F.sum("bytes").alias("bytes")).first()
     return found["rows"] <= max_rows and (found["bytes"] or 0) <= max_bytes
 
 
