@@ -21,16 +21,18 @@ _LAST = np.iinfo(np.int64).max
 _COUNTERS_PER_KEY = 8
 
 
-def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
+def remove_repeated(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, chunk_bytes: int = exchange.CHUNK_BYTES
+) -> DataFrame:
     """``docs`` with the kept words of each text, joined by one space, and ``n_words`` and ``n_removed``.
 
     A word goes if a window of ``window`` words covers it that also starts in a document with a smaller id; windows
     are judged on the input. Whole texts, all rows. A null text has no words and becomes an empty text. A null id
     counts as the largest. Rows of equal id do not remove each other's words. Columns named ``n_words`` or
-    ``n_removed`` are replaced; all others are kept.
+    ``n_removed`` are replaced; all others are kept. A worker holds the arrays of ``chunk_bytes`` of text at once.
     """
     docs = docs.drop("n_words", "n_removed")
-    chunks = exchange.pack(docs, text_col)
+    chunks = exchange.pack(docs, text_col, chunk_bytes)
     parts = exchange.parts_of(chunks)
 
     def sketch(table: pa.Table):
