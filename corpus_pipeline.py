@@ -29,6 +29,8 @@ from editsieve.session import shared_dir
 __all__ = ["LLM_ORACLES", "LLM_QUERIES", "ORACLE_SQL", "STAGES", "run"]
 
 ORACLE_SQL = None
+# Half of what the operator takes by itself, as executors hold the memory of earlier stages too.
+CHUNK_BYTES = 4 << 20
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +51,7 @@ def keep_first_of_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     del spark, sf_dir
-    kept = substrings.remove_repeated(docs)
+    kept = substrings.remove_repeated(docs, chunk_bytes=CHUNK_BYTES)
     return kept.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
