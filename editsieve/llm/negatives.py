@@ -143,11 +143,11 @@ def _searched(forest: DataFrame, anchors: DataFrame, tasks: int, work) -> DataFr
             for row in range(batch.num_rows):
                 cell = {name: batch.column(name)[row] for name in batch.schema.names}
                 block = cell["asked_block"].as_py()
-                for place, window, ids, scores in work(_tree(cell["data"].as_buffer()), cell):
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(np.full(len(ids), block, np.int64)), pa.array(np.full(len(ids), place, np.int32)),
-                        pa.array(np.full(len(ids), window, np.int64)), pa.array(ids), pa.array(scores.astype(np.int64)),
-                    ], schema=_FOUND)
+                place, window, ids, scores = work(_tree(cell["data"].as_buffer()), cell)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(len(ids), block, np.int64)), pa.array(place.astype(np.int32)),
+                    pa.array(window.astype(np.int64)), pa.array(ids), pa.array(scores.astype(np.int64)),
+                ], schema=_FOUND)
 
     def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
@@ -191,9 +191,8 @@ def mine(
 
     def positive(tree: Tree, cell: dict):
         ids, label, vectors = _unpack(cell["asked"].as_buffer())
-        search = Search(tree, vectors)
-        for place in range(len(ids)):
-            yield place, 0, *search.best(place, label[place], positives + 1)
+        place, *found = Search(tree, vectors).best_of(np.arange(len(ids)), label, positives + 1)
+        return place, np.zeros(len(place), np.int64), *found
 
     found = _searched(forest, asked, tasks, positive).drop("window")
     known = asked.mapInArrow(_own, "asked_block long, place int, anchor_id long, own long")
@@ -218,13 +217,11 @@ def mine(
         _, label, vectors = _unpack(cell["asked"].as_buffer())
         table = exchange.from_bytes(cell["opened"].as_buffer()).sort_by("place")
         place, score = table.column("place").to_numpy(), table.column("positive_score").to_numpy()
-        search = Search(tree, vectors)
-        firsts = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
-        for a, b in zip(firsts, np.append(firsts[1:], len(place)), strict=True):
-            each = score[a:b].tolist()
-            ends = [(-(-low * s // OF), high * s // OF) for s in each]
-            for s, got in zip(each, search.within(place[a], label[place[a]], ends, negatives), strict=True):
-                yield place[a], s, *got
+        ends = [(-(-low * s // OF), high * s // OF) for s in score.tolist()]
+        below, above = (np.array(x, np.int64) for x in zip(*ends, strict=True))
+        asked, owner = np.unique(place, return_inverse=True)
+        window, *found = Search(tree, vectors).within_of(asked, label[asked], owner, below, above, negatives)
+        return place[window], score[window], *found
 
     hard = _searched(forest, asked.join(opened, "asked_block"), tasks, negative)
     by_rank = Window.partitionBy("asked_block", "place", "window").orderBy(F.col("score").desc(), "vec_id")

@@ -104,3 +104,26 @@ def test_scores_beyond_floating_point_are_exact():
     tree = Tree.of(np.arange(3), np.zeros(3, np.int64), vectors)
     ids, scores = Search(tree, vectors[:1]).best(0, 0, 3)
     assert ids.tolist() == [0, 1, 2] and scores.tolist() == (vectors @ vectors[0]).tolist()
+
+
+def test_queries_of_a_block_read_their_pages_together(monkeypatch):
+    random = np.random.default_rng(3)
+    vectors, labels, ids = random.integers(-99, 99, (1500, 16)), random.integers(0, 3, 1500), random.permutation(1500)
+    tree = Tree.of(ids, labels, vectors, 16, 4)
+    place = {int(i): k for k, i in enumerate(ids)}
+    search, read = Search(tree, vectors[:300]), []
+    one = Search._read
+    monkeypatch.setattr(Search, "_read", lambda self, *a: read.append(a[0]) or one(self, *a))
+    rows, found, scores = search.best_of(np.arange(300), labels[:300], 4)
+    owner = np.repeat(np.arange(300), 2)
+    low, high = np.tile([20_000, -5_000], 300), np.tile([60_000, -4_000], 300)
+    windows, other, other_scores = search.within_of(np.arange(300), labels[:300], owner, low, high, 3)
+    every = vectors @ vectors[:300].T
+    for k in range(300):
+        want = sorted((-int(every[place[i], k]), i) for i in range(1500) if labels[place[i]] == labels[k])[:4]
+        assert list(zip((-scores[rows == k]).astype(int).tolist(), found[rows == k].tolist(), strict=True)) == want
+        for w in (2 * k, 2 * k + 1):
+            want = sorted((-int(s), i) for i in range(1500) if labels[place[i]] != labels[k] and low[w] <= (s := every[place[i], k]) <= high[w])[:3]
+            assert list(zip((-other_scores[windows == w]).astype(int).tolist(), other[windows == w].tolist(), strict=True)) == want
+    rounds = 2 + int(np.log2(tree.leaves))
+    assert len(read) <= 2 * rounds * tree.leaves  # and not one of each page for each query
