@@ -238,3 +238,23 @@ def test_tokens_of_null_and_repeated_ids_stay_with_their_rows(spark, monkeypatch
     rows = spark.createDataFrame([(1, "a b"), (1, "c the"), (None, "of d"), (None, "the")], "id long, text string")
     got = sorted(((r.id, r.tokens) for r in tx.clean_tokens(rows, "text", "tokens", stop, stems).collect()), key=str)
     assert got == sorted([(1, ["a", "b"]), (1, ["k"]), (None, ["e"])], key=str)
+
+
+def test_letter_tokens_are_runs_of_letters(spark):
+    texts = ["  a1B--C ", "\u0130\u212a", "12 !", "", "Ѐ,ӿ", None]
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "id bigint, text string")
+    got = {r.id: r.t for r in rows.select("id", ft.letter_tokens(F.col("text")).alias("t")).collect()}
+    assert got == {0: ["a", "b", "c"], 1: [""], 2: [""], 3: [""], 4: ["ѐ", "ӿ"], 5: None}
+
+
+def test_texts_are_cleaned_once_for_their_weights(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def tokens(text):
+        seen.add(1)
+        return text.split()
+
+    split = F.udf(tokens, "array<string>")
+    rows = spark.createDataFrame([(1, "a b"), (2, "b c")], "id bigint, text string")
+    got = tx.tfidf_features(rows.select("id", split("text").alias("tokens"))).select("id", "features").collect()
+    assert len(got) == 2 and seen.value == 2
