@@ -258,3 +258,12 @@ def test_texts_are_cleaned_once_for_their_weights(spark):
     rows = spark.createDataFrame([(1, "a b"), (2, "b c")], "id bigint, text string")
     got = tx.tfidf_features(rows.select("id", split("text").alias("tokens"))).select("id", "features").collect()
     assert len(got) == 2 and seen.value == 2
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+def test_a_table_beyond_the_bound_is_not_broadcast(spark, how):
+    rows = spark.createDataFrame([(k % 9,) for k in range(30)], "k bigint")
+    table = spark.createDataFrame([(k, k * k) for k in range(5)], "k bigint, v bigint")
+    joined = skew.lookup_join(rows, table, ["k"], how, broadcast_rows=2)
+    assert "Broadcast" not in joined._jdf.queryExecution().sparkPlan().toString()
+    assert joined.count() == rows.join(table, "k", how).count()
