@@ -54,3 +54,41 @@ def test_model_of_parts_gives_every_row_its_mean(spark, in_parts):
     one = model.getVectors().filter(F.col("word") == "a1").first()["vector"].toArray()
     assert sorted(np.allclose(r["features"].toArray(), one) for r in found) == [False, True]
     assert any(not r["features"].toArray().any() for r in found) and model.transform(rows).count() == 202
+
+
+def test_many_stems_are_sent_to_bundles(spark, monkeypatch):
+    lists = [(1, ["a", "b", None]), (None, ["c", "x", "c"]), (None, ["d"]), (2, None), (2, []), (3, ["a"] * 700)]
+    df = spark.createDataFrame(lists, "id long, t array<string>").withColumn("more", F.lit("kept"))
+    stems = spark.createDataFrame([("a", "A"), ("c", "k"), (None, "n"), ("b", None)], "token string, stem string")
+    rows = lambda: sorted(((r.id, r.t, r.more) for r in tx.stem_tokens(df, "t", stems).collect()), key=str)
+    want = [(1, ["A", "b"]), (None, ["k", "x", "k"]), (None, ["d"]), (2, None), (2, []), (3, ["A"] * 700)]
+    want = sorted(((*row, "kept") for row in want), key=str)
+    assert rows() == want
+    monkeypatch.setattr(tx, "fits", lambda *a: False)
+    monkeypatch.setattr(tx, "BUNDLE_TOKENS", 300)
+    assert rows() == want
+
+
+def test_rows_do_not_move_for_features_or_few_stems(spark):
+    df = spark.createDataFrame([(1, ["a", "b"]), (2, ["b"]), (2, [])], "id long, tokens array<string>")
+    stems = spark.createDataFrame([("a", "A")], "token string, stem string")
+    plan = tx.stem_tokens(df, "tokens", stems)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "MapInArrow" in plan
+    made = tx.tfidf_md5_features(df, columns=["id"])
+    assert made.columns == ["id", "features"] and "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.id, sum(x > 0 for x in r.features)) for r in made.collect()) == [(1, 2), (2, 0), (2, 1)]
+
+
+def test_a_written_table_is_not_written_again(spark):
+    from editsieve import session
+
+    once = session.cut_lineage(spark.range(3))
+    assert session.cut_lineage(once) is once and not session.is_written(once.select("id"))
+
+
+def test_vectors_of_double_precision_stay_whole_in_bundles(spark, monkeypatch):
+    monkeypatch.setattr(cl, "fits", lambda *a: False)
+    rows = spark.createDataFrame([(1, ["x", "y"])], "id long, tokens array<string>")
+    for one in (0.1, 0.5):  # the second is the same in single precision
+        vectors = spark.createDataFrame([("x", [one]), ("y", [one * 2])], "token string, vector array<double>")
+        assert cl.embed_tokens(rows, "id", "tokens", vectors).first()["embedding"] == [(one + one * 2) / 2]
